@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The warehouse this package re-implements is a batch system: every load is a
+full, idempotent rebuild (staging, dimensions, fact, marts), and it has no
+stream source, watermark, windowed state or trigger. Incremental loads were
+only listed as a future idea, so nothing is built here.
+"""
