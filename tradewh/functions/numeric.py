@@ -23,7 +23,7 @@ MONEY = "decimal(18,2)"
 def parse_decimal(c: Column | str) -> Column:
     """Decimal-comma text -> DOUBLE, NULL when not a number."""
     c = col(c)
-    return F.when(c.rlike(NUM_PATTERN), F.translate(c, ",", ".").try_cast("double"))
+    return F.when(c.rlike(NUM_PATTERN), F.replace(c, F.lit(","), F.lit(".")).try_cast("double"))
 
 
 def parse_double(c: Column | str) -> Column:

@@ -8,7 +8,7 @@ from tradewh import oracle
 from tradewh.functions.text import normalize_country, repair_enye
 from tradewh.plans import dims as dims_mod
 from tradewh.plans import marts as marts_mod
-from tradewh.plans import reports, views
+from tradewh.plans import charts, exports, quality, reports, views
 from tradewh.plans.staging import build_staging, staging_rejects
 from tradewh.plans.warehouse import FIXTURE_CUTOFF, fixture_warehouse, to_output
 from tradewh.schemas import STAGING_SOURCES
@@ -87,6 +87,11 @@ QUERIES = {
     "r7_red_share": _report(reports.r7_red_share),
     "sample_top_countries": _report(reports.sample_top_countries),
     "sample_daily_fob": _report(reports.sample_daily_fob),
+    **{name: _report(fn) for name, fn in charts.CHARTS.items()},
+    **{name: _report(fn) for name, fn in quality.CHECKS.items()},
+    "bronze_roundtrip": lambda spark, sf_dir: exports.bronze_roundtrip(_wh(spark, sf_dir), raw_items(spark, sf_dir)),
+    "export_layers": lambda spark, sf_dir: exports.export_layers_q(_wh(spark, sf_dir)),
+    "export_flat": lambda spark, sf_dir: exports.export_flat_q(_wh(spark, sf_dir)),
 }
 
 ORACLE = oracle.all_queries()

@@ -18,7 +18,7 @@ class LandingNotFound(FileNotFoundError):
 
 
 def read_landing_csv(spark: SparkSession, glob: str, sep: str = ",",
-                     encoding: str = "UTF-8", schema=RAW_SCHEMA) -> DataFrame:
+                     encoding: str = "UTF-8", schema=RAW_SCHEMA, escape: str = '"') -> DataFrame:
     """All CSV files of the landing zone as one relation.
 
     ``enforceSchema=False`` makes Spark check each file's header against the
@@ -31,6 +31,7 @@ def read_landing_csv(spark: SparkSession, glob: str, sep: str = ",",
             .option("enforceSchema", False)
             .option("sep", sep)
             .option("encoding", encoding)
+            .option("escape", escape)
             .option("mode", "FAILFAST")
             .schema(schema)
             .csv(glob)
@@ -48,3 +49,12 @@ def write_bronze(df: DataFrame, path: str) -> str:
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """Bronze snapshot scan (S3); pruning and pushdown come with Parquet."""
     return spark.read.parquet(path)
+
+
+def write_landing_csv(df: DataFrame, path: str, sep: str = ",", escape: str = '"') -> str:
+    """Write ``df`` as landing CSV files (header, values kept verbatim —
+    leading/trailing blanks included)."""
+    (df.write.mode("overwrite").option("header", True).option("sep", sep).option("escape", escape)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
+    return path
