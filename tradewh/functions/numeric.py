@@ -26,6 +26,22 @@ def parse_decimal(c: Column | str) -> Column:
     return F.when(c.rlike(NUM_PATTERN), F.replace(c, F.lit(","), F.lit(".")).try_cast("double"))
 
 
+def parse_money(c: Column | str) -> Column:
+    """Decimal-comma text -> DECIMAL(18,2), NULL when not a number (P2 + P9).
+
+    Parsed straight to DECIMAL (no detour through DOUBLE): the decimal parser
+    already rejects 'nan', 'inf', type suffixes and thousands separators, so no
+    pattern guard is needed, and values with at most two decimals come out
+    exactly as via DOUBLE. Sub-cent ties round half up on the written digits.
+    """
+    return F.replace(col(c), F.lit(","), F.lit(".")).try_cast(MONEY)
+
+
+def parse_money_strict(c: Column | str) -> Column:
+    """Decimal-point text -> DECIMAL(18,2); a comma makes it NULL (legacy P3)."""
+    return col(c).try_cast(MONEY)
+
+
 def parse_double(c: Column | str) -> Column:
     """Decimal-point text -> DOUBLE without comma repair."""
     c = col(c)

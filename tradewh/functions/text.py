@@ -6,9 +6,13 @@ from pyspark.sql import Column, functions as F
 
 from tradewh.functions._util import col
 
-# Leading/trailing Unicode space separators (U+0020, NBSP, ...). Tabs and
-# newlines are kept, as the reference engine's TRIM keeps them.
-_EDGE_SPACES = r"^\p{Zs}+|\p{Zs}+$"
+# The Unicode space separators (category Zs) stripped from both
+# ends by the reference engine's TRIM: U+0020, U+00A0, U+1680, U+2000..U+200A,
+# U+202F, U+205F, U+3000. Tabs and newlines are kept, as that TRIM keeps them.
+SPACE_SEPARATORS = (
+    "\u0020\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+)
 
 # The ISO-prefix pattern of dirty country names ("BR - BRASIL")
 # and the channel code table of the reference.
@@ -18,9 +22,19 @@ CHANNELS = {"V": "VERDE", "R": "ROJO", "N": "NARANJA"}
 CHANNEL_UNKNOWN = "DESCONOCIDO"
 
 
+def unicode_trim(c: Column | str) -> Column:
+    """Strip space separators from both ends (``TRIM(BOTH chars FROM x)``).
+
+    The argument is evaluated once. (A CASE that re-used it in several
+    branches would re-evaluate it per branch: Spark does not share common
+    subexpressions across conditional branches.)
+    """
+    return F.trim(col(c), F.lit(SPACE_SEPARATORS))
+
+
 def norm_text(c: Column | str) -> Column:
     """``UPPER(TRIM(x))`` (P1); NULL stays NULL."""
-    return F.upper(F.regexp_replace(col(c), _EDGE_SPACES, ""))
+    return F.upper(unicode_trim(c))
 
 
 def repair_enye(c: Column | str) -> Column:
@@ -37,12 +51,13 @@ def normalize_country(c: Column | str, first_only: bool = False) -> Column:
     collapsing only the first run (its regex replace lacked the global flag).
     """
     u = norm_text(c)
-    stripped = norm_text(F.regexp_replace(u, ISO_PREFIX, ""))
     if first_only:
         collapsed = F.regexp_replace(u, r"^(.*?)\s+(.*)$", "$1 $2")
     else:
         collapsed = F.regexp_replace(u, r"\s+", " ")
-    return F.when(u.rlike(ISO_PREFIX_MATCH), stripped).otherwise(norm_text(collapsed))
+    stripped = F.regexp_replace(u, ISO_PREFIX, "")
+    # u is already upper case: trimming the replaced text is all that is left.
+    return F.when(u.rlike(ISO_PREFIX_MATCH), unicode_trim(stripped)).otherwise(unicode_trim(collapsed))
 
 
 def decode_canal(c: Column | str) -> Column:

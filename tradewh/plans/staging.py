@@ -12,7 +12,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tradewh.functions.dates import parse_date
-from tradewh.functions.numeric import parse_decimal, parse_double, parse_int, to_money
+from tradewh.functions.numeric import parse_decimal, parse_int, parse_money, parse_money_strict
 from tradewh.functions.text import norm_text, normalize_country, repair_enye
 from tradewh.schemas import STAGING_SOURCES
 
@@ -30,9 +30,9 @@ def _typed(source: str, kind: str, legacy: bool) -> Column:
     if kind == "text":
         return norm_text(c)
     if kind == "money":
-        return to_money(parse_decimal(c))
+        return parse_money(c)
     if kind == "qty":
-        return to_money(parse_double(c) if legacy else parse_decimal(c))
+        return parse_money_strict(c) if legacy else parse_money(c)
     if kind == "int":
         return parse_int(c)
     if kind == "date":
@@ -85,6 +85,7 @@ def staging_rejects(raw: DataFrame, cutoff: str = DEFAULT_CUTOFF) -> DataFrame:
         F.count_if(d.isNull()).alias("bad_date"),
         F.count_if(d < F.lit(cutoff).cast("date")).alias("before_cutoff"),
         F.count_if(F.coalesce(date_ok, F.lit(False)) & ~F.coalesce(fob_ok, F.lit(False))).alias("fob_not_positive"),
-        F.count_if(F.coalesce(date_ok & fob_ok, F.lit(False)) & to_money(fob).isNull()).alias("money_out_of_range"),
+        F.count_if(F.coalesce(date_ok & fob_ok, F.lit(False)) & parse_money(F.col("`FOB DOLAR`")).isNull())
+        .alias("money_out_of_range"),
         F.count_if(F.coalesce(date_ok & fob_ok, F.lit(False))).alias("rows_out"),
     )

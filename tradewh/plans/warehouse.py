@@ -23,6 +23,7 @@ from tradewh.plans import dims as dims_mod
 from tradewh.plans.fact import build_fact
 from tradewh.plans.staging import build_staging
 from tradewh.session import ensure_checkpoint_dir
+from tradewh.sources.landing import read_bronze, write_bronze
 from tradewh.sources.sinks import write_parquet
 
 DIM_NAMES = list(dims_mod.BUILDERS)
@@ -45,6 +46,10 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
+    @property
+    def bronze(self) -> DataFrame:
+        return self.table("bronze/aduana_item_raw")
+
     @property
     def staging(self) -> DataFrame:
         return self.table(STAGING)
@@ -112,7 +117,10 @@ def fixture_warehouse(spark: SparkSession, sf_dir: str, cutoff: str = FIXTURE_CU
             base = ensure_checkpoint_dir(spark)
             tag = hashlib.sha1(repr(key).encode()).hexdigest()[:12]
             root = f"{base.rstrip('/')}/tradewh-{tag}-{uuid.uuid4().hex[:8]}"
-            wh = Warehouse.load(spark, raw_items(spark, sf_dir), root, cutoff=cutoff, legacy=legacy)
+            # Bronze snapshot first, as the reference's pipeline does: staging
+            # then reads plain string columns instead of the adapter's joins.
+            bronze = write_bronze(raw_items(spark, sf_dir), f"{root}/bronze/aduana_item_raw")
+            wh = Warehouse.load(spark, read_bronze(spark, bronze), root, cutoff=cutoff, legacy=legacy)
             _CACHE[key] = wh
         return wh
 

@@ -12,7 +12,6 @@ from tradewh.plans import charts, exports, quality, reports, views
 from tradewh.plans.staging import build_staging, staging_rejects
 from tradewh.plans.warehouse import FIXTURE_CUTOFF, fixture_warehouse, to_output
 from tradewh.schemas import STAGING_SOURCES
-from tradewh.sources.fixtures import raw_items
 
 
 def _wh(spark: SparkSession, sf_dir: str):
@@ -24,7 +23,7 @@ def staging_typed(spark, sf_dir) -> DataFrame:
 
 
 def staging_country(spark, sf_dir) -> DataFrame:
-    raw = raw_items(spark, sf_dir)
+    raw = _wh(spark, sf_dir).bronze
     src = F.col("`PAIS ORIGEN`")
     return raw.groupBy(src.alias("raw_value")).agg(F.count(F.lit(1)).alias("rows")).select(
         "raw_value",
@@ -35,11 +34,11 @@ def staging_country(spark, sf_dir) -> DataFrame:
 
 
 def staging_rejects_q(spark, sf_dir) -> DataFrame:
-    return staging_rejects(raw_items(spark, sf_dir), cutoff=FIXTURE_CUTOFF)
+    return staging_rejects(_wh(spark, sf_dir).bronze, cutoff=FIXTURE_CUTOFF)
 
 
 def staging_legacy_qty(spark, sf_dir) -> DataFrame:
-    stg = build_staging(raw_items(spark, sf_dir), cutoff=FIXTURE_CUTOFF, legacy=True)
+    stg = build_staging(_wh(spark, sf_dir).bronze, cutoff=FIXTURE_CUTOFF, legacy=True)
     return to_output(stg.select("despacho_cifrado", "item", "cantidad_subitem"))
 
 
@@ -89,7 +88,7 @@ QUERIES = {
     "sample_daily_fob": _report(reports.sample_daily_fob),
     **{name: _report(fn) for name, fn in charts.CHARTS.items()},
     **{name: _report(fn) for name, fn in quality.CHECKS.items()},
-    "bronze_roundtrip": lambda spark, sf_dir: exports.bronze_roundtrip(_wh(spark, sf_dir), raw_items(spark, sf_dir)),
+    "bronze_roundtrip": lambda spark, sf_dir: exports.bronze_roundtrip(_wh(spark, sf_dir), _wh(spark, sf_dir).bronze),
     "export_layers": lambda spark, sf_dir: exports.export_layers_q(_wh(spark, sf_dir)),
     "export_flat": lambda spark, sf_dir: exports.export_flat_q(_wh(spark, sf_dir)),
 }
