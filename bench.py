@@ -55,7 +55,10 @@ def main() -> None:
         ("v_top_paises", views.v_top_paises), ("v_canal_control", views.v_canal_control),
         ("fact_orphans", quality.fact_orphans), ("fk_check", quality.fk_check),
     ]:
-        timed(name, lambda f=fn: f(wh).collect())
+        if name.startswith("r"):
+            timed(name, lambda f=fn: f(wh).collect())  # small report: fetched to the client
+        else:
+            timed(name, lambda f=fn: f(wh).write.mode("overwrite").format("noop").save())
 
     total = round(sum(times.values()), 3)
     print(json.dumps({

@@ -49,3 +49,13 @@ def test_union_halves_have_equal_totals_without_orphans(wh):
     t = {r.tipo_pais: r.n for r in v.groupBy("tipo_pais").agg(F.sum("cantidad_items").alias("n")).collect()}
     nulls = wh.fact.where(F.col("pais_destino_key").isNull()).count()
     assert t["ORIGEN"] - t["DESTINO"] == nulls
+
+
+def test_single_pass_dims_equal_individual_builders(wh):
+    from tradewh.plans import dims
+
+    together = dims.build_dims(wh.staging)
+    for name, builder in dims.BUILDERS.items():
+        a, b = together[name], builder(wh.staging)
+        assert a.columns == b.columns, name
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name

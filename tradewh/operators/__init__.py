@@ -7,3 +7,4 @@ from tradewh.operators.joins import (  # noqa: F401
 from tradewh.operators.windows import with_share, with_rank, running_total, with_lag  # noqa: F401
 from tradewh.operators.pivot import pivot, select_existing  # noqa: F401
 from tradewh.operators.topk import top_k  # noqa: F401
+from tradewh.operators.parallelism import spread  # noqa: F401

@@ -65,23 +65,26 @@ def dim_producto(stg: DataFrame) -> DataFrame:
         "producto_key", "rubro", "capitulo", "partida", "posicion", "descripcion_arancelaria")
 
 
-def dim_fecha(stg: DataFrame, legacy_quarter: bool = False) -> DataFrame:
-    """One row per observed officialisation date; key YYYYMMDD (no numbering needed)."""
+def _calendar(days: DataFrame, legacy_quarter: bool) -> DataFrame:
+    """Calendar attributes of a frame of distinct ``fecha_oficializacion`` days."""
     d = F.col("fecha_oficializacion")
-    return (
-        _distinct(stg, "oficializacion").withColumnRenamed("oficializacion", "fecha_oficializacion")
-        .select(
-            date_key(d).alias("fecha_key"),
-            d,
-            F.year(d).alias("anio"),
-            month_name_es(d).alias("mes_nombre"),
-            F.month(d).alias("mes_numero"),
-            quarter_of(d, legacy=legacy_quarter).alias("trimestre"),
-            semester(d).alias("semestre"),
-        )
+    return days.select(
+        date_key(d).alias("fecha_key"),
+        d,
+        F.year(d).alias("anio"),
+        month_name_es(d).alias("mes_nombre"),
+        F.month(d).alias("mes_numero"),
+        quarter_of(d, legacy=legacy_quarter).alias("trimestre"),
+        semester(d).alias("semestre"),
     )
 
 
+def dim_fecha(stg: DataFrame, legacy_quarter: bool = False) -> DataFrame:
+    """One row per observed officialisation date; key YYYYMMDD (no numbering needed)."""
+    days = _distinct(stg, "oficializacion").withColumnRenamed("oficializacion", "fecha_oficializacion")
+    return _calendar(days, legacy_quarter)
+
+
 BUILDERS = {
     "dim_fecha": dim_fecha,
     "dim_aduana": dim_aduana,
@@ -93,5 +96,74 @@ BUILDERS = {
 }
 
 
-def build_dims(stg: DataFrame) -> dict[str, DataFrame]:
-    return {name: fn(stg) for name, fn in BUILDERS.items()}
+# Numbered dimensions: name, staging column, surrogate key, natural-key column.
+NUMBERED = [
+    ("dim_aduana", "aduana", "aduana_key", "nombre_aduana"),
+    ("dim_producto", "posicion", "producto_key", "posicion"),
+    ("dim_pais_origen", "pais_origen", "pais_origen_key", "pais_origen_desc"),
+    ("dim_pais_destino", "pais_procedencia_destino", "pais_destino_key", "pais_desc_desc"),
+    ("dim_operacion", "operacion", "operacion_key", "tipo_operacion"),
+    ("dim_regimen", "regimen", "regimen_key", "codigo_regimen"),
+]
+_PRODUCT_ATTRS = ["rubro", "desc_capitulo", "desc_partida", "desc_posicion"]
+
+
+def build_dims(stg: DataFrame, legacy_quarter: bool = False,
+               with_counts: bool = False):
+    """All seven dimensions from ONE scan of staging.
+
+    Each staging row is exploded into (dimension, value[, product attributes])
+    pairs; a single GROUP BY (partial aggregation in the scan tasks, so only
+    distinct values are shuffled) yields every dimension's members, which are
+    checkpointed (the numbering below samples its input for range bounds and
+    must not re-run the staging scan to do so). One dense numbering over
+    (dimension, value) is rebased per dimension and checkpointed again, so
+    the seven table writes read a small, fixed result.
+
+    Returns ``{name: DataFrame}``, plus ``{name: rows}`` with ``with_counts``.
+    """
+    null = F.lit(None).cast("string")
+    members = []
+    for name, src, _, _ in NUMBERED:
+        attrs = [F.col(a) if name == "dim_producto" else null for a in _PRODUCT_ATTRS]
+        members.append(F.struct(F.lit(name).alias("dim"), F.col(src).alias("v"),
+                                *[a.alias(f"a{i}") for i, a in enumerate(attrs)]))
+    members.append(F.struct(F.lit("dim_fecha").alias("dim"), F.col("oficializacion").cast("string").alias("v"),
+                            *[null.alias(f"a{i}") for i in range(len(_PRODUCT_ATTRS))]))
+    pairs = stg.select(F.explode(F.array(*members)).alias("m")).select("m.*").where(F.col("v").isNotNull())
+    distinct = (
+        pairs.groupBy("dim", "v")
+        .agg(*[F.max(f"a{i}").alias(f"a{i}") for i in range(len(_PRODUCT_ATTRS))])
+        .checkpoint(eager=True)
+    )
+
+    numbered = dense_keys(distinct.where(F.col("dim") != "dim_fecha"), ["dim", "v"], "_g", cast=None)
+    first = numbered.groupBy("dim").agg(F.min("_g").alias("_g0"))
+    numbered = numbered.join(F.broadcast(first), "dim").select(
+        "dim", "v", "a0", "a1", "a2", "a3", (F.col("_g") - F.col("_g0") + 1).cast("int").alias("_k"))
+    dates = distinct.where(F.col("dim") == "dim_fecha").select(
+        "dim", "v", "a0", "a1", "a2", "a3", F.lit(None).cast("int").alias("_k"))
+    keyed = numbered.unionByName(dates).checkpoint(eager=True)
+
+    out = {}
+    for name, _, key, natural in NUMBERED:
+        d = keyed.where(F.col("dim") == name)
+        if name == "dim_producto":
+            out[name] = d.select(F.col("_k").alias(key), F.col("a0").alias("rubro"), F.col("a1").alias("capitulo"),
+                                 F.col("a2").alias("partida"), F.col("v").alias("posicion"),
+                                 F.col("a3").alias("descripcion_arancelaria"))
+        elif name == "dim_regimen":
+            out[name] = d.select(F.col("_k").alias(key), F.col("v").alias(natural), F.col("v").alias("descripcion_regimen"))
+        elif name == "dim_aduana":
+            out[name] = d.select(F.col("_k").alias(key), F.col("v").alias(natural),
+                                 F.lit(UNSPECIFIED).alias("ubicacion_dependencia"))
+        else:
+            out[name] = d.select(F.col("_k").alias(key), F.col("v").alias(natural))
+    day = keyed.where(F.col("dim") == "dim_fecha").select(F.col("v").cast("date").alias("fecha_oficializacion"))
+    out["dim_fecha"] = _calendar(day, legacy_quarter)
+    out = {name: out[name] for name in BUILDERS}
+    if not with_counts:
+        return out
+    # One small aggregate (seven rows) instead of a count job per table.
+    counts = {r["dim"]: r["n"] for r in keyed.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return out, {name: counts.get(name, 0) for name in BUILDERS}

@@ -19,6 +19,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tradewh.operators.parallelism import spread
 from tradewh.plans import dims as dims_mod
 from tradewh.plans.fact import build_fact
 from tradewh.plans.staging import build_staging
@@ -87,11 +88,13 @@ class Warehouse:
     def load(cls, spark: SparkSession, raw: DataFrame, root: str, cutoff: str,
              batch_id: str | None = None, legacy: bool = False) -> "Warehouse":
         wh = cls(spark, root)
+        raw = spread(raw)
         write_parquet(build_staging(raw, cutoff=cutoff, batch_id=batch_id, legacy=legacy), wh.path(STAGING))
         stg = wh.staging
-        for name, builder in dims_mod.BUILDERS.items():
-            write_parquet(builder(stg), wh.path(name))
-            wh.rows(name)
+        dims, counts = dims_mod.build_dims(stg, with_counts=True)
+        for name, dim in dims.items():
+            write_parquet(dim, wh.path(name))
+        wh.dim_rows.update(counts)
         fact = build_fact(stg, wh.dims, dim_rows=wh.dim_rows)
         write_parquet(fact, wh.path(FACT))
         return wh
