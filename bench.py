@@ -23,7 +23,7 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     sf = float(m.group(1)) if m else None
 
-    from tradewh.plans import marts, quality, reports, views
+    from tradewh.plans import quality, reports, views
     from tradewh.plans.warehouse import Warehouse, FIXTURE_CUTOFF
     from tradewh.session import build_session, ensure_checkpoint_dir
     from tradewh.sources.fixtures import raw_items
@@ -45,8 +45,7 @@ def main() -> None:
     bronze_path = f"{root}/bronze/aduana_item_raw"
     timed("bronze", lambda: write_bronze(raw_items(spark, sf_dir), bronze_path))
     wh = timed("load", lambda: Warehouse.load(spark, read_bronze(spark, bronze_path), root, cutoff=FIXTURE_CUTOFF))
-    for name in marts.BUILDERS:
-        timed(f"mart_{name}", lambda n=name: wh.mart(n))
+    timed("marts_all_five_one_scan", wh.materialize_marts)
     for name, fn in [
         ("r1_yoy", reports.r1_yoy), ("r2_top_countries", reports.r2_top_countries),
         ("r3_trend", reports.r3_trend), ("r4_offices", reports.r4_offices),

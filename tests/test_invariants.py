@@ -59,3 +59,17 @@ def test_single_pass_dims_equal_individual_builders(wh):
         a, b = together[name], builder(wh.staging)
         assert a.columns == b.columns, name
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_one_scan_marts_equal_single_mart_builders(wh):
+    from tradewh.plans import marts
+
+    together = marts.build_marts(wh)
+    for name, builder in marts.BUILDERS.items():
+        a = to_output(together[name])
+        b = to_output(builder(wh)[0])
+        assert sorted(a.columns) == sorted(b.columns), name
+        a = a.select(*sorted(a.columns))
+        b = b.select(*sorted(b.columns))
+        assert a.count() == b.count() > 0, name
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name

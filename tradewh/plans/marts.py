@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tradewh.functions.numeric import round_half_away, safe_div
+from tradewh.functions.numeric import round_half_away, safe_div, sum_money
 from tradewh.functions.text import decode_canal
 from tradewh.operators.windows import with_rank, with_share
 from tradewh.plans.star import star
@@ -22,7 +22,7 @@ from tradewh.plans.star import star
 
 def avg_money(c: str) -> Column:
     """``ROUND(AVG(x), 2)`` as DOUBLE: double(sum) / count(non-NULL)."""
-    return round_half_away(safe_div(F.sum(c), F.count(c)), 2)
+    return round_half_away(safe_div(sum_money(c), F.count(c)), 2)
 
 
 def _count() -> Column:
@@ -33,14 +33,14 @@ def agg_fob_mensual_operacion(wh) -> tuple[DataFrame, list[str]]:
     keys = ["anio", "mes_numero", "mes_nombre", "trimestre", "semestre", "tipo_operacion"]
     df = star(wh, ["dim_fecha", "dim_operacion"]).groupBy(*keys).agg(
         _count().alias("cantidad_items"),
-        F.sum("fob_dolar").alias("fob_total"),
-        F.sum("kilo_neto").alias("kilo_neto_total"),
-        F.sum("flete_dolar").alias("flete_total"),
-        F.sum("seguro_dolar").alias("seguro_total"),
-        F.sum("derecho").alias("derecho_total"),
-        F.sum("isc").alias("isc_total"),
-        F.sum("iva").alias("iva_total"),
-        F.sum("total_gravamen").alias("gravamen_total"),
+        sum_money("fob_dolar").alias("fob_total"),
+        sum_money("kilo_neto").alias("kilo_neto_total"),
+        sum_money("flete_dolar").alias("flete_total"),
+        sum_money("seguro_dolar").alias("seguro_total"),
+        sum_money("derecho").alias("derecho_total"),
+        sum_money("isc").alias("isc_total"),
+        sum_money("iva").alias("iva_total"),
+        sum_money("total_gravamen").alias("gravamen_total"),
         avg_money("fob_dolar").alias("fob_promedio"),
         F.min("fob_dolar").alias("fob_minimo"),
         F.max("fob_dolar").alias("fob_maximo"),
@@ -52,8 +52,8 @@ def agg_fob_pais_anual(wh) -> tuple[DataFrame, list[str]]:
     keys = ["anio", "trimestre", "tipo_operacion", "pais_origen_desc", "pais_destino_desc"]
     df = star(wh, ["dim_fecha", "dim_operacion", "dim_pais_origen", "dim_pais_destino"]).groupBy(*keys).agg(
         _count().alias("cantidad_items"),
-        F.sum("fob_dolar").alias("fob_total"),
-        F.sum("kilo_neto").alias("kilo_neto_total"),
+        sum_money("fob_dolar").alias("fob_total"),
+        sum_money("kilo_neto").alias("kilo_neto_total"),
         avg_money("fob_dolar").alias("fob_promedio"),
     )
     df = with_share(df, "fob_total", ["anio", "tipo_operacion"], "pct_fob_sobre_total", 4)
@@ -64,10 +64,10 @@ def agg_fob_aduana_mensual(wh) -> tuple[DataFrame, list[str]]:
     keys = ["anio", "mes_numero", "mes_nombre", "trimestre", "tipo_operacion", "nombre_aduana"]
     df = star(wh, ["dim_fecha", "dim_aduana", "dim_operacion"]).groupBy(*keys).agg(
         _count().alias("cantidad_items"),
-        F.sum("fob_dolar").alias("fob_total"),
-        F.sum("kilo_neto").alias("kilo_neto_total"),
+        sum_money("fob_dolar").alias("fob_total"),
+        sum_money("kilo_neto").alias("kilo_neto_total"),
         avg_money("fob_dolar").alias("fob_promedio"),
-        F.sum("total_gravamen").alias("gravamen_total"),
+        sum_money("total_gravamen").alias("gravamen_total"),
     )
     part = ["anio", "mes_numero", "tipo_operacion"]
     df = with_rank(df, "fob_total", part, "rank_fob_mes")
@@ -79,8 +79,8 @@ def agg_fob_ncm_anual(wh) -> tuple[DataFrame, list[str]]:
     keys = ["anio", "trimestre", "tipo_operacion", "rubro", "capitulo", "posicion", "descripcion_arancelaria"]
     df = star(wh, ["dim_fecha", "dim_producto", "dim_operacion"]).groupBy(*keys).agg(
         _count().alias("cantidad_items"),
-        F.sum("fob_dolar").alias("fob_total"),
-        F.sum("kilo_neto").alias("kilo_neto_total"),
+        sum_money("fob_dolar").alias("fob_total"),
+        sum_money("kilo_neto").alias("kilo_neto_total"),
         avg_money("fob_dolar").alias("fob_promedio"),
     )
     part = ["anio", "tipo_operacion"]
@@ -95,8 +95,8 @@ def canal_grouped(wh, with_avg: bool) -> DataFrame:
     fact = wh.fact.where(F.col("canal").isNotNull())
     aggs = [
         _count().alias("cantidad_despachos"),
-        F.sum("fob_dolar").alias("fob_total"),
-        F.sum("total_gravamen").alias("gravamen_total"),
+        sum_money("fob_dolar").alias("fob_total"),
+        sum_money("total_gravamen").alias("gravamen_total"),
     ]
     if with_avg:
         aggs.append(avg_money("fob_dolar").alias("fob_promedio"))
@@ -126,3 +126,145 @@ GRAINS = {
     "agg_fob_ncm_anual": "anio + trimestre + ncm + operacion",
     "agg_canal_mensual": "anio + mes + aduana + canal",
 }
+
+
+# -- all five marts from one scan of the fact ---------------------------------
+
+GRAIN_KEYS = {
+    "agg_fob_mensual_operacion": ["anio", "mes_numero", "mes_nombre", "trimestre", "semestre", "tipo_operacion"],
+    "agg_fob_pais_anual": ["anio", "trimestre", "tipo_operacion", "pais_origen_desc", "pais_destino_desc"],
+    "agg_fob_aduana_mensual": ["anio", "mes_numero", "mes_nombre", "trimestre", "tipo_operacion", "nombre_aduana"],
+    "agg_fob_ncm_anual": ["anio", "trimestre", "tipo_operacion", "rubro", "capitulo", "posicion",
+                          "descripcion_arancelaria"],
+    "agg_canal_mensual": ["anio", "mes_numero", "mes_nombre", "trimestre", "tipo_operacion", "nombre_aduana",
+                          "canal_codigo", "canal_nombre"],
+}
+SORT_KEYS = {
+    "agg_fob_mensual_operacion": ["anio", "mes_numero", "tipo_operacion"],
+    "agg_fob_pais_anual": ["anio", "tipo_operacion"],
+    "agg_fob_aduana_mensual": ["anio", "mes_numero", "tipo_operacion"],
+    "agg_fob_ncm_anual": ["anio", "tipo_operacion"],
+    "agg_canal_mensual": ["anio", "mes_numero", "nombre_aduana", "canal_codigo"],
+}
+_SUMS = {
+    "fob_total": "fob_dolar", "kilo_neto_total": "kilo_neto", "flete_total": "flete_dolar",
+    "seguro_total": "seguro_dolar", "derecho_total": "derecho", "isc_total": "isc", "iva_total": "iva",
+    "gravamen_total": "total_gravamen",
+}
+
+
+# Integer grouping keys of each mart: the string attributes of its grain are
+# functions of these (surrogate keys are 1:1 with natural keys, month names
+# and quarters are functions of the month), so grouping by them is the same
+# grouping, with narrow fixed-width hash keys.
+KEY_GRAINS = {
+    "agg_fob_mensual_operacion": ["anio", "mes_numero", "trimestre", "semestre", "operacion_key"],
+    "agg_fob_pais_anual": ["anio", "trimestre", "operacion_key", "pais_origen_key", "pais_destino_key"],
+    "agg_fob_aduana_mensual": ["anio", "mes_numero", "trimestre", "operacion_key", "aduana_key"],
+    "agg_fob_ncm_anual": ["anio", "trimestre", "operacion_key", "producto_key"],
+    "agg_canal_mensual": ["anio", "mes_numero", "trimestre", "operacion_key", "aduana_key", "canal"],
+}
+# Dimensions joined back onto each mart's aggregated rows (inner joins).
+ATTACH = {
+    "agg_fob_mensual_operacion": ["dim_operacion", "month"],
+    "agg_fob_pais_anual": ["dim_operacion", "dim_pais_origen", "dim_pais_destino"],
+    "agg_fob_aduana_mensual": ["dim_operacion", "dim_aduana", "month"],
+    "agg_fob_ncm_anual": ["dim_operacion", "dim_producto"],
+    "agg_canal_mensual": ["dim_operacion", "dim_aduana", "month"],
+}
+
+
+def build_marts(wh) -> dict[str, DataFrame]:
+    """M1-M5 with ONE scan of the fact (eager aggregation + GROUPING SETS).
+
+    1. fact ⋈ dim_fecha (broadcast; integer calendar attributes only);
+    2. GROUPING SETS over the integer keys of the five grains — the Expand
+       feeds partial aggregation in the scan tasks, so a single shuffle
+       carries the partial aggregates of all five marts;
+    3. the aggregated rows are written once as a table (lineage cut);
+    4. per mart: its grouping set, rows with its keys present, then inner
+       joins of the (small, broadcast) dimensions onto the *aggregated* rows
+       to attach the descriptive attributes, then ranks and shares.
+
+    Same rows as each mart's own star join + GROUP BY: an inner join drops
+    exactly the fact rows whose key is NULL or unknown, and here those rows
+    only form groups that step 4 drops.
+    """
+    fecha = wh.dim("dim_fecha").select("fecha_key", "anio", "mes_numero", "trimestre", "semestre")
+    from tradewh.operators.joins import broadcast_if_small
+
+    base = wh.fact.join(broadcast_if_small(fecha, known_rows=wh.rows("dim_fecha")), "fecha_key")
+    names = list(KEY_GRAINS)
+    cols: list[str] = []
+    for n in names:
+        cols += [c for c in KEY_GRAINS[n] if c not in cols]
+    gid = {n: sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in KEY_GRAINS[n]) for n in names}
+
+    agg = base.groupingSets([KEY_GRAINS[n] for n in names], *cols).agg(
+        F.grouping_id().alias("_gid"),
+        _count().alias("_count"),
+        *[sum_money(src).alias(out) for out, src in _SUMS.items()],
+        F.count("fob_dolar").alias("_n_fob"),
+        F.min("fob_dolar").alias("fob_minimo"),
+        F.max("fob_dolar").alias("fob_maximo"),
+    )
+    path = wh.path("analytic/_mart_groups")
+    agg.write.mode("overwrite").parquet(path)
+    agg = wh.spark.read.parquet(path)
+
+    months = wh.dim("dim_fecha").select("mes_numero", "mes_nombre").distinct()
+    lookups = {
+        "dim_operacion": wh.dim("dim_operacion"),
+        "dim_pais_origen": wh.dim("dim_pais_origen"),
+        "dim_pais_destino": wh.dim("dim_pais_destino").withColumnRenamed("pais_desc_desc", "pais_destino_desc"),
+        "dim_aduana": wh.dim("dim_aduana").select("aduana_key", "nombre_aduana"),
+        "dim_producto": wh.dim("dim_producto").drop("partida"),
+    }
+    join_key = {"dim_operacion": "operacion_key", "dim_pais_origen": "pais_origen_key",
+                "dim_pais_destino": "pais_destino_key", "dim_aduana": "aduana_key",
+                "dim_producto": "producto_key", "month": "mes_numero"}
+
+    def part(n: str) -> DataFrame:
+        cond = F.col("_gid") == gid[n]
+        for c in KEY_GRAINS[n]:
+            cond = cond & F.col(c).isNotNull()
+        m = agg.where(cond)
+        for d in ATTACH[n]:
+            if d == "month":
+                m = m.join(F.broadcast(months), "mes_numero")
+            else:
+                m = m.join(broadcast_if_small(lookups[d], known_rows=wh.rows(d)), join_key[d])
+        if "canal" in KEY_GRAINS[n]:
+            m = m.withColumn("canal_codigo", F.col("canal")).withColumn("canal_nombre", decode_canal("canal"))
+        return m.withColumn("fob_promedio", round_half_away(safe_div(F.col("fob_total"), F.col("_n_fob")), 2))
+
+    out = {}
+    m = part("agg_fob_mensual_operacion")
+    out["agg_fob_mensual_operacion"] = m.select(
+        *GRAIN_KEYS["agg_fob_mensual_operacion"], F.col("_count").alias("cantidad_items"),
+        "fob_total", "kilo_neto_total", "flete_total", "seguro_total", "derecho_total", "isc_total", "iva_total",
+        "gravamen_total", "fob_promedio", "fob_minimo", "fob_maximo")
+
+    m = part("agg_fob_pais_anual").select(
+        *GRAIN_KEYS["agg_fob_pais_anual"], F.col("_count").alias("cantidad_items"),
+        "fob_total", "kilo_neto_total", "fob_promedio")
+    out["agg_fob_pais_anual"] = with_share(m, "fob_total", ["anio", "tipo_operacion"], "pct_fob_sobre_total", 4)
+
+    m = part("agg_fob_aduana_mensual").select(
+        *GRAIN_KEYS["agg_fob_aduana_mensual"], F.col("_count").alias("cantidad_items"),
+        "fob_total", "kilo_neto_total", "fob_promedio", "gravamen_total")
+    w = ["anio", "mes_numero", "tipo_operacion"]
+    out["agg_fob_aduana_mensual"] = with_share(with_rank(m, "fob_total", w, "rank_fob_mes"), "fob_total", w, "pct_fob", 2)
+
+    m = part("agg_fob_ncm_anual").select(
+        *GRAIN_KEYS["agg_fob_ncm_anual"], F.col("_count").alias("cantidad_items"),
+        "fob_total", "kilo_neto_total", "fob_promedio")
+    w = ["anio", "tipo_operacion"]
+    out["agg_fob_ncm_anual"] = with_share(with_rank(m, "fob_total", w, "rank_fob"), "fob_total", w, "pct_fob", 4)
+
+    m = part("agg_canal_mensual").select(
+        *GRAIN_KEYS["agg_canal_mensual"], F.col("_count").alias("cantidad_despachos"),
+        "fob_total", "gravamen_total", "fob_promedio")
+    out["agg_canal_mensual"] = with_share(
+        m, "cantidad_despachos", ["anio", "mes_numero", "tipo_operacion", "nombre_aduana"], "pct_canal", 2)
+    return out

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tradewh.functions.numeric import pct_change, round_half_away, safe_div, to_millions
+from tradewh.functions.numeric import pct_change, round_half_away, safe_div, sum_money, to_millions
 from tradewh.functions.text import decode_canal, left
 from tradewh.operators.joins import latest_year
 from tradewh.operators.topk import top_k
@@ -121,7 +121,7 @@ def r7_red_share(wh, min_items: int = 100, k: int = 10) -> DataFrame:
     df = f.groupBy("pais_origen_desc").agg(
         F.count_if(red).alias("despachos_rojos"),
         F.count(F.lit(1)).alias("despachos_totales"),
-        F.sum(F.when(red, F.col("fob_dolar"))).alias("_fob_rojo"),
+        sum_money(F.when(red, F.col("fob_dolar"))).alias("_fob_rojo"),
     ).where((F.col("despachos_rojos") > 0) & (F.col("despachos_totales") >= min_items))
     df = df.select(
         "pais_origen_desc", "despachos_rojos", "despachos_totales",
@@ -134,11 +134,11 @@ def r7_red_share(wh, min_items: int = 100, k: int = 10) -> DataFrame:
 
 def sample_top_countries(wh, k: int = 10) -> DataFrame:
     """Documentation sample: top-k origin countries over all years."""
-    df = star(wh, ["dim_pais_origen"]).groupBy("pais_origen_desc").agg(F.sum("fob_dolar").alias("total_fob"))
+    df = star(wh, ["dim_pais_origen"]).groupBy("pais_origen_desc").agg(sum_money("fob_dolar").alias("total_fob"))
     return top_k(df, k, [F.col("total_fob").desc(), F.col("pais_origen_desc").asc()])
 
 
 def sample_daily_fob(wh) -> DataFrame:
     """Documentation sample 'FOB by date key' (X2), built over the fact since
     the mart the sample names has no date key."""
-    return wh.fact.groupBy("fecha_key").agg(F.sum("fob_dolar").alias("total")).orderBy("fecha_key")
+    return wh.fact.groupBy("fecha_key").agg(sum_money("fob_dolar").alias("total")).orderBy("fecha_key")

@@ -25,12 +25,12 @@ DIM_ATTRS = {
 }
 
 
-def star(wh, dims: list[str], fact: DataFrame | None = None) -> DataFrame:
+def star(wh, dims: list[str], fact: DataFrame | None = None, how: str = "inner") -> DataFrame:
     f = fact if fact is not None else wh.fact
     for name in dims:
         key, attrs = DIM_ATTRS[name]
         cols = [F.col(a[0]).alias(a[1]) if isinstance(a, tuple) else F.col(a) for a in attrs]
         d = wh.dim(name).select(F.col(key).alias(f"_{key}"), *cols)
         d = broadcast_if_small(d, known_rows=wh.rows(name))
-        f = f.join(d, f[key] == d[f"_{key}"], "inner").drop(f"_{key}")
+        f = f.join(d, f[key] == d[f"_{key}"], how).drop(f"_{key}")
     return f

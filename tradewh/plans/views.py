@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewh.functions.numeric import pct_change, round_half_away
+from tradewh.functions.numeric import pct_change, round_half_away, sum_money
 from tradewh.operators.windows import running_total, with_lag, with_rank, with_share
 from tradewh.plans.marts import _count, avg_money, canal_grouped
 from tradewh.plans.star import star
@@ -15,11 +15,11 @@ def v_fob_por_operacion(wh) -> DataFrame:
     keys = ["anio", "mes_numero", "mes_nombre", "trimestre", "semestre", "tipo_operacion"]
     return star(wh, ["dim_fecha", "dim_operacion"]).groupBy(*keys).agg(
         _count().alias("cantidad_items"),
-        F.sum("fob_dolar").alias("fob_total"),
-        F.sum("kilo_neto").alias("kilo_neto_total"),
-        F.sum("flete_dolar").alias("flete_total"),
-        F.sum("seguro_dolar").alias("seguro_total"),
-        F.sum("total_gravamen").alias("gravamen_total"),
+        sum_money("fob_dolar").alias("fob_total"),
+        sum_money("kilo_neto").alias("kilo_neto_total"),
+        sum_money("flete_dolar").alias("flete_total"),
+        sum_money("seguro_dolar").alias("seguro_total"),
+        sum_money("total_gravamen").alias("gravamen_total"),
         avg_money("fob_dolar").alias("fob_promedio"),
     )
 
@@ -33,8 +33,8 @@ def v_top_paises(wh) -> DataFrame:
             "anio", "trimestre", "tipo_operacion", F.col(col).alias("pais")
         ).agg(
             _count().alias("cantidad_items"),
-            F.sum("fob_dolar").alias("fob_total"),
-            F.sum("kilo_neto").alias("kilo_neto_total"),
+            sum_money("fob_dolar").alias("fob_total"),
+            sum_money("kilo_neto").alias("kilo_neto_total"),
         )
         h = with_share(h, "fob_total", ["anio", "tipo_operacion"], "pct_fob", 2)
         halves.append(h.select("anio", "trimestre", "tipo_operacion", "pais", F.lit(kind).alias("tipo_pais"),
@@ -46,8 +46,8 @@ def v_tendencia_mensual(wh) -> DataFrame:
     """Monthly series with change vs the previous *existing* month and YTD."""
     keys = ["anio", "mes_numero", "mes_nombre", "trimestre", "semestre", "tipo_operacion"]
     base = star(wh, ["dim_fecha", "dim_operacion"]).groupBy(*keys).agg(
-        F.sum("fob_dolar").alias("fob_total"),
-        F.sum("kilo_neto").alias("kilo_neto_total"),
+        sum_money("fob_dolar").alias("fob_total"),
+        sum_money("kilo_neto").alias("kilo_neto_total"),
         _count().alias("cantidad_items"),
         F.count_distinct("pais_origen_key").alias("paises_distintos"),
     )
@@ -64,8 +64,8 @@ def v_tendencia_mensual(wh) -> DataFrame:
 def _ranked(wh, dim: str, attrs: list[str], pct_digits: int) -> DataFrame:
     df = star(wh, ["dim_fecha", dim, "dim_operacion"]).groupBy("anio", "trimestre", "tipo_operacion", *attrs).agg(
         _count().alias("cantidad_items"),
-        F.sum("fob_dolar").alias("fob_total"),
-        F.sum("kilo_neto").alias("kilo_neto_total"),
+        sum_money("fob_dolar").alias("fob_total"),
+        sum_money("kilo_neto").alias("kilo_neto_total"),
         avg_money("fob_dolar").alias("fob_promedio"),
     )
     df = with_rank(df, "fob_total", ["anio", "tipo_operacion"], "rank_fob")

@@ -72,17 +72,22 @@ class Warehouse:
         return self.dim_rows[name]
 
     def mart(self, name: str) -> DataFrame:
-        """Materialised mart ``analytic/<name>`` (built and written on first use)."""
-        from tradewh.plans import marts  # local import: marts import this module
-
+        """Materialised mart ``analytic/<name>``; the first request builds all five."""
         with self._lock:
             if name not in self._marts:
-                path = self.path(f"analytic/{name}")
-                df, sort_cols = marts.BUILDERS[name](self)
-                write_parquet(df, path, sort_by=sort_cols)
-                self._marts[name] = self.spark.read.parquet(path)
+                self.materialize_marts()
             return self._marts[name]
 
+    def materialize_marts(self) -> dict[str, DataFrame]:
+        """Build M1-M5 from one scan of the fact and write each."""
+        from tradewh.plans import marts  # local import: marts import this module
+
+        for name, df in marts.build_marts(self).items():
+            path = self.path(f"analytic/{name}")
+            write_parquet(df, path, sort_by=marts.SORT_KEYS[name])
+            self._marts[name] = self.spark.read.parquet(path)
+        return dict(self._marts)
+
     # -- load ------------------------------------------------------------
     @classmethod
     def load(cls, spark: SparkSession, raw: DataFrame, root: str, cutoff: str,
