@@ -208,7 +208,7 @@ def build_marts(wh) -> dict[str, DataFrame]:
         F.min("fob_dolar").alias("fob_minimo"),
         F.max("fob_dolar").alias("fob_maximo"),
     )
-    path = wh.path("analytic/_mart_groups")
+    path = wh.path("analytic/mart_groups")
     agg.write.mode("overwrite").parquet(path)
     agg = wh.spark.read.parquet(path)
 

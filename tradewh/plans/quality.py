@@ -57,16 +57,23 @@ def pk_check(wh) -> DataFrame:
 
 
 def fk_check(wh) -> DataFrame:
-    """Q6: fact rows whose non-NULL key is missing from its dimension
-    (left-anti join against the broadcast dimension keys)."""
-    fact = wh.fact
-    out = []
+    """Q6: fact rows whose non-NULL key is missing from its dimension.
+
+    One scan of the fact for all seven keys: each dimension's key set is
+    broadcast (size checked) and LEFT-joined with a match marker; one
+    aggregate counts the unmatched non-NULL keys.
+    """
+    f = wh.fact.select(*FACT_KEYS)
     for name, (key, _) in DIM_KEYS.items():
-        keys = broadcast_if_small(wh.dim(name).select(key), known_rows=wh.rows(name))
-        orphans = fact.select(key).where(F.col(key).isNotNull()).join(keys, key, "left_anti")
-        out.append(orphans.agg(F.count(F.lit(1)).alias("orphan_rows")).select(
-            F.lit(f"{FACT}.{key} -> {name}").alias("fk"), "orphan_rows"))
-    return _stack(out)
+        keys = wh.dim(name).select(F.col(key).alias(f"_m_{key}"), F.lit(True).alias(f"_hit_{key}"))
+        keys = broadcast_if_small(keys, known_rows=wh.rows(name))
+        f = f.join(keys, F.col(key) == F.col(f"_m_{key}"), "left")
+    counts = f.agg(*[
+        F.count_if(F.col(key).isNotNull() & F.col(f"_hit_{key}").isNull()).alias(name)
+        for name, (key, _) in DIM_KEYS.items()
+    ])
+    pairs = ", ".join(f"'{FACT}.{key} -> {name}', `{name}`" for name, (key, _) in DIM_KEYS.items())
+    return counts.selectExpr(f"stack({len(DIM_KEYS)}, {pairs}) AS (fk, orphan_rows)")
 
 
 def not_null_check(wh) -> DataFrame:
