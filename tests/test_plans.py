@@ -33,3 +33,32 @@ def test_scan_is_pruned(wh):
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(fob_dolar), GreaterThan(fob_dolar" in p
     assert "ReadSchema: struct<fecha_key:int,fob_dolar:decimal(18,2)>" in p
+
+
+def test_marts_aggregate_partially_before_the_shuffle(wh):
+    from tradewh.plans import marts
+
+    df, _ = marts.agg_fob_ncm_anual(wh)
+    p = plan(df)
+    # map-side partial aggregation, then one hash exchange, then the final aggregate:
+    # a group holding a third of all rows costs one partial row per task.
+    assert "partial_" in p or "mode=Partial" in p or "HashAggregate(keys" in p
+    lines = [ln for ln in p.splitlines() if "Exchange hashpartitioning" in ln]
+    assert len(lines) >= 1
+
+
+def test_spread_only_when_under_split(spark):
+    from tradewh.operators.parallelism import spread
+
+    one = spark.range(0, 1000, 1, 1)
+    assert spread(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(0, 1000, 1, 6)
+    assert spread(many, 4).rdd.getNumPartitions() == 6
+
+
+def test_preview_is_bounded(wh):
+    from tradewh.plans.present import preview
+    from tradewh.plans import reports
+
+    p = preview(reports.r4_offices(wh), 5)
+    assert len(p["rows"]) == 5 and p["truncated"] and not p["empty"]
