@@ -29,8 +29,11 @@ def main() -> None:
     from tradewh.sources.fixtures import raw_items
     from tradewh.sources.landing import read_bronze, write_bronze
 
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
-                          extra={"spark.driver.memory": "16g"})
+    extra = {"spark.driver.memory": "16g"}
+    java_opts = os.environ.get("BENCH_JAVA_OPTS")
+    if java_opts:
+        extra["spark.driver.extraJavaOptions"] = java_opts
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), extra=extra)
     spark.range(1000).selectExpr("sum(id)").collect()  # JVM / session warm-up, not timed
 
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bench-{uuid.uuid4().hex[:8]}"

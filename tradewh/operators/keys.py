@@ -7,9 +7,10 @@ moves every row into one task. Instead:
    distributed sort; AQE does not coalesce an explicit partition count);
 2. tag each row with ``monotonically_increasing_id()``, whose upper bits are
    the partition index and lower 33 bits the position inside the partition;
-3. reliably checkpoint that frame to the cluster's checkpoint folder, so both
-   uses below read the very same partitions (an executor loss cannot produce a
-   different layout for one of them);
+3. write that frame as a table in the cluster's checkpoint folder, so both
+   uses below read the very same rows and tags (an executor loss cannot
+   produce a different layout for one of them; the tags are stored, so the
+   file layout on read does not matter);
 4. count rows per partition (one row per partition), prefix-sum those counts
    in a tiny window and broadcast them (size bounded by the partition count);
 5. key = offset(partition) + position + 1.
@@ -21,6 +22,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tradewh.operators.materialize import materialize
+
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
@@ -56,7 +59,7 @@ def dense_keys(df: DataFrame, order_cols: list[str], key_col: str, num_partition
         .sortWithinPartitions(*order_cols)
         .withColumn("_tw_mid", F.monotonically_increasing_id())
     )
-    ranged = ranged.checkpoint(eager=True)
+    ranged = materialize(ranged, "keys")
     return _attach_offsets(ranged, key_col, cast)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tradewh.functions.dates import date_key, month_name_es, quarter_of, semester
 from tradewh.operators.keys import dense_keys
+from tradewh.operators.materialize import materialize
 
 # Fixed value: the office location the reference stores for every office.
 UNSPECIFIED = "NO ESPECIFICADO"
@@ -53,6 +54,8 @@ def dim_producto(stg: DataFrame) -> DataFrame:
     """One row per tariff position; other attributes by MAX."""
     d = (
         stg.where(F.col("posicion").isNotNull())
+        .select("posicion", "rubro", "desc_capitulo", "desc_partida", "desc_posicion")
+        .distinct()  # hash-aggregated; the string MAX below then runs on distinct tuples only
         .groupBy("posicion")
         .agg(
             F.max("rubro").alias("rubro"),
@@ -115,10 +118,10 @@ def build_dims(stg: DataFrame, legacy_quarter: bool = False,
     Each staging row is exploded into (dimension, value[, product attributes])
     pairs; a single GROUP BY (partial aggregation in the scan tasks, so only
     distinct values are shuffled) yields every dimension's members, which are
-    checkpointed (the numbering below samples its input for range bounds and
-    must not re-run the staging scan to do so). One dense numbering over
-    (dimension, value) is rebased per dimension and checkpointed again, so
-    the seven table writes read a small, fixed result.
+    written as a table (the numbering below samples its input for range bounds
+    and must not re-run the staging scan to do so). One dense numbering over
+    (dimension, value) is rebased per dimension and written again, so the
+    seven table writes read a small, fixed result.
 
     Returns ``{name: DataFrame}``, plus ``{name: rows}`` with ``with_counts``.
     """
@@ -131,11 +134,15 @@ def build_dims(stg: DataFrame, legacy_quarter: bool = False,
     members.append(F.struct(F.lit("dim_fecha").alias("dim"), F.col("oficializacion").cast("string").alias("v"),
                             *[null.alias(f"a{i}") for i in range(len(_PRODUCT_ATTRS))]))
     pairs = stg.select(F.explode(F.array(*members)).alias("m")).select("m.*").where(F.col("v").isNotNull())
+    # DISTINCT first (a keys-only hash aggregate, partial in the scan tasks);
+    # MAX over strings cannot use the hash aggregate, so it runs afterwards on
+    # the few distinct tuples instead of on every staging row.
     distinct = (
-        pairs.groupBy("dim", "v")
+        pairs.distinct()
+        .groupBy("dim", "v")
         .agg(*[F.max(f"a{i}").alias(f"a{i}") for i in range(len(_PRODUCT_ATTRS))])
-        .checkpoint(eager=True)
     )
+    distinct = materialize(distinct, "dim-members")
 
     numbered = dense_keys(distinct.where(F.col("dim") != "dim_fecha"), ["dim", "v"], "_g", cast=None)
     first = numbered.groupBy("dim").agg(F.min("_g").alias("_g0"))
@@ -143,7 +150,7 @@ def build_dims(stg: DataFrame, legacy_quarter: bool = False,
         "dim", "v", "a0", "a1", "a2", "a3", (F.col("_g") - F.col("_g0") + 1).cast("int").alias("_k"))
     dates = distinct.where(F.col("dim") == "dim_fecha").select(
         "dim", "v", "a0", "a1", "a2", "a3", F.lit(None).cast("int").alias("_k"))
-    keyed = numbered.unionByName(dates).checkpoint(eager=True)
+    keyed = materialize(numbered.unionByName(dates), "dim-keys")
 
     out = {}
     for name, _, key, natural in NUMBERED:

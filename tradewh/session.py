@@ -47,17 +47,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     SparkContext's checkpoint dir). Only when neither is set — local runs and
     tests — a fresh folder is created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext, read the setting only
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
     if not configured:
         try:
             configured = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset key
             configured = None
     if not configured:
+        # Local runs and tests only: nothing is configured, so make a folder.
         configured = tempfile.mkdtemp(prefix="tradewh-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
