@@ -62,3 +62,10 @@ def test_preview_is_bounded(wh):
 
     p = preview(reports.r4_offices(wh), 5)
     assert len(p["rows"]) == 5 and p["truncated"] and not p["empty"]
+
+
+def test_latest_year_report_prunes_fact_partitions(wh):
+    p = plan(reports.r7_red_share(wh))
+    pruned = [ln for ln in p.splitlines()
+              if "PartitionFilters: [" in ln and "fecha_anio" in ln.split("PartitionFilters: [")[1]]
+    assert pruned, "fact scan is not restricted by its year partition"

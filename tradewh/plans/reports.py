@@ -120,13 +120,16 @@ def r6_channels(wh) -> DataFrame:
 def r7_red_share(wh, min_items: int = 100, k: int = 10) -> DataFrame:
     """Origin countries of the latest year with the highest share of RED channel.
 
-    The reference joins a per-(country, channel) aggregate with a per-country
-    total; both come from one GROUP BY country here (one shuffle, no join).
+    The per-(country, channel) aggregate and the per-country total both come
+    from one GROUP BY country here (one shuffle, no join). Rows of the
+    latest-year partitions have a date key, so no date-dimension join is
+    needed for the year restriction.
     Only countries with at least one RED item and ``min_items`` items remain.
     """
-    year = wh.mart("agg_fob_pais_anual").agg(F.max("anio").alias("_y"))
-    f = star(wh, ["dim_fecha", "dim_pais_origen"], fact=wh.fact.where(F.col("canal").isNotNull()))
-    f = f.join(F.broadcast(year), F.col("anio") == F.col("_y"))
+    # Latest year as a scalar subquery: the fact is partitioned by year, so
+    # only that year's partitions are listed and read.
+    year = wh.mart("agg_fob_pais_anual").agg(F.max("anio")).scalar()
+    f = star(wh, ["dim_pais_origen"], fact=wh.fact_in_year(year).where(F.col("canal").isNotNull()))
     red = decode_canal("canal") == "ROJO"
     df = f.groupBy("pais_origen_desc").agg(
         F.count_if(red).alias("despachos_rojos"),

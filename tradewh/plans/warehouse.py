@@ -29,6 +29,9 @@ from tradewh.sources.sinks import write_parquet
 
 DIM_NAMES = list(dims_mod.BUILDERS)
 FACT = "fact_aduana_item"
+# The fact is stored partitioned by officialisation year (derived from the
+# date key), so queries on recent years list and read only their partitions.
+FACT_PARTITION = "fecha_anio"
 STAGING = "stg_aduana"
 
 
@@ -57,7 +60,13 @@ class Warehouse:
 
     @property
     def fact(self) -> DataFrame:
-        return self.table(FACT)
+        """The fact with the source layout (partition column hidden)."""
+        return self.table(FACT).drop(FACT_PARTITION)
+
+    def fact_in_year(self, year) -> DataFrame:
+        """Fact rows of one year (a value or a scalar-subquery Column); the
+        filter is on the partition column, so only that year is read."""
+        return self.table(FACT).where(F.col(FACT_PARTITION) == year).drop(FACT_PARTITION)
 
     def dim(self, name: str) -> DataFrame:
         return self.table(name)
@@ -101,7 +110,8 @@ class Warehouse:
             write_parquet(dim, wh.path(name))
         wh.dim_rows.update(counts)
         fact = build_fact(stg, wh.dims, dim_rows=wh.dim_rows)
-        write_parquet(fact, wh.path(FACT))
+        fact = fact.withColumn(FACT_PARTITION, F.expr("fecha_key div 10000").cast("int"))
+        write_parquet(fact, wh.path(FACT), sort_by=[FACT_PARTITION, "fecha_key"], partition_by=[FACT_PARTITION])
         return wh
 
 
