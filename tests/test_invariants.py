@@ -35,11 +35,11 @@ def test_ytd_last_month_is_year_total(wh):
 
 def test_view_equals_mart_on_shared_columns(wh):
     cols = ["anio", "mes_numero", "tipo_operacion", "cantidad_items", "fob_total", "fob_promedio"]
-    a = to_output(views.v_fob_por_operacion(wh)).select(*cols)
+    a = to_output(views.v_fob_por_operacion_from_fact(wh)).select(*cols)
     b = to_output(wh.mart("agg_fob_mensual_operacion")).select(*cols)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     cols = ["anio", "mes_numero", "nombre_aduana", "canal_codigo", "cantidad_despachos", "pct_canal"]
-    a = to_output(views.v_canal_control(wh)).select(*cols)
+    a = to_output(views.v_canal_control_from_fact(wh)).select(*cols)
     b = to_output(wh.mart("agg_canal_mensual")).select(*cols)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 

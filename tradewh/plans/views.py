@@ -12,6 +12,18 @@ from tradewh.plans.star import star
 
 
 def v_fob_por_operacion(wh) -> DataFrame:
+    """V1: the monthly mart's grain and rows (same joins, same grouping), so
+    the view is a projection of the materialised mart, not a fact re-scan."""
+    return wh.mart("agg_fob_mensual_operacion").select(
+        "anio", "mes_numero", "mes_nombre", "trimestre", "semestre", "tipo_operacion",
+        "cantidad_items", "fob_total", "kilo_neto_total", "flete_total", "seguro_total",
+        "gravamen_total", "fob_promedio",
+    )
+
+
+def v_fob_por_operacion_from_fact(wh) -> DataFrame:
+    """V1 computed straight from the fact (kept for checks and for use before
+    the marts exist)."""
     keys = ["anio", "mes_numero", "mes_nombre", "trimestre", "semestre", "tipo_operacion"]
     return star(wh, ["dim_fecha", "dim_operacion"]).groupBy(*keys).agg(
         _count().alias("cantidad_items"),
@@ -82,6 +94,12 @@ def v_top_ncm(wh) -> DataFrame:
 
 
 def v_canal_control(wh) -> DataFrame:
+    """V6: the channel mart's rows without its average column (same joins,
+    filter, grouping and shares), read from the materialised mart."""
+    return wh.mart("agg_canal_mensual").drop("fob_promedio")
+
+
+def v_canal_control_from_fact(wh) -> DataFrame:
     return canal_grouped(wh, with_avg=False)
 
 
