@@ -27,11 +27,14 @@ def duck(sf_dir: str):
     return con
 
 
+EXACT = os.environ.get("COMPARE_EXACT") == "1"
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return v if EXACT else round(v, 6)
     if hasattr(v, "isoformat"):
         return v.isoformat()
     if v is None:
