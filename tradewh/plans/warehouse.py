@@ -125,12 +125,20 @@ FIXTURE_CUTOFF = "1996-01-01"
 
 def fixture_warehouse(spark: SparkSession, sf_dir: str, cutoff: str = FIXTURE_CUTOFF,
                       legacy: bool = False) -> Warehouse:
-    """Warehouse loaded from the driver's fixture tables, once per Spark app."""
+    """Warehouse loaded from the driver's fixture tables, once per process.
+
+    The written tables outlive a Spark session: if the caller starts a new
+    session, the cached warehouse is re-bound to it (tables re-read, not
+    rebuilt); it is rebuilt only when its files cannot be read.
+    """
     from tradewh.sources.fixtures import raw_items
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), cutoff, legacy)
+    key = (os.path.abspath(sf_dir), cutoff, legacy)
     with _CACHE_LOCK:
         wh = _CACHE.get(key)
+        if wh is not None and wh.spark is not spark:
+            wh = _rebind(wh, spark)
+            _CACHE[key] = wh
         if wh is None:
             base = ensure_checkpoint_dir(spark)
             tag = hashlib.sha1(repr(key).encode()).hexdigest()[:12]
@@ -143,6 +151,18 @@ def fixture_warehouse(spark: SparkSession, sf_dir: str, cutoff: str = FIXTURE_CU
         return wh
 
 
+def _rebind(wh: Warehouse, spark: SparkSession) -> Warehouse | None:
+    """The same written warehouse, read through another session (or None)."""
+    fresh = Warehouse(spark, wh.root, wh.dim_rows)
+    try:
+        fresh.table(FACT).schema  # noqa: B018 - forces a listing of the written files
+        for name in wh._marts:
+            fresh._marts[name] = spark.read.parquet(fresh.path(f"analytic/{name}"))
+    except Exception:  # noqa: BLE001 - files gone: rebuild
+        return None
+    return fresh
+
+
 def to_output(df: DataFrame) -> DataFrame:
     """Cast DECIMAL columns to DOUBLE for reporting (exact sums happen before)."""
     from pyspark.sql.types import DecimalType
