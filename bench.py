@@ -35,6 +35,12 @@ def main() -> None:
         extra["spark.driver.extraJavaOptions"] = java_opts
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), extra=extra)
     spark.range(1000).selectExpr("sum(id)").collect()  # JVM / session warm-up, not timed
+    # Machine-speed calibration (not part of the value): the container's speed
+    # drifts, so record a fixed warm job next to the query times.
+    spark.range(200_000_000).selectExpr("sum(id * 2)").collect()
+    t_cal = time.perf_counter()
+    spark.range(200_000_000).selectExpr("sum(id * 2)").collect()
+    calibration = round(time.perf_counter() - t_cal, 3)
 
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bench-{uuid.uuid4().hex[:8]}"
     times: dict[str, float] = {}
@@ -71,6 +77,7 @@ def main() -> None:
         "sf": sf,
         "cpus": cpus,
         "fact_rows": wh.fact.count(),
+        "calibration_range_sum_200m_sec": calibration,
     }))
 
 
