@@ -37,17 +37,36 @@ def v_fob_por_operacion_from_fact(wh) -> DataFrame:
 
 
 def v_top_paises(wh) -> DataFrame:
-    """Origin and destination halves, each with its own share, stacked."""
+    """V2: origin and destination halves, each with its own share.
+
+    One scan of the fact: GROUPING SETS over (year, quarter, operation key,
+    origin key) and (…, destination key); country names and operation are
+    joined onto the aggregated rows (inner joins, so NULL or unknown keys drop
+    out as in a star join), then each half gets its share and the halves are
+    stacked.
+    """
+    from tradewh.operators.joins import broadcast_if_small
+
+    fecha = wh.dim("dim_fecha").select("fecha_key", "anio", "trimestre")
+    base = wh.fact.join(broadcast_if_small(fecha, known_rows=wh.rows("dim_fecha")), "fecha_key")
+    sets = [["anio", "trimestre", "operacion_key", "pais_origen_key"],
+            ["anio", "trimestre", "operacion_key", "pais_destino_key"]]
+    cols = ["anio", "trimestre", "operacion_key", "pais_origen_key", "pais_destino_key"]
+    agg = base.groupingSets(sets, *cols).agg(
+        F.grouping_id().alias("_gid"),
+        _count().alias("cantidad_items"),
+        sum_money("fob_dolar").alias("fob_total"),
+        sum_money("kilo_neto").alias("kilo_neto_total"),
+    )
+    op = broadcast_if_small(wh.dim("dim_operacion"), known_rows=wh.rows("dim_operacion"))
     halves = []
-    for dim, col, kind in (("dim_pais_origen", "pais_origen_desc", "ORIGEN"),
-                           ("dim_pais_destino", "pais_destino_desc", "DESTINO")):
-        h = star(wh, ["dim_fecha", "dim_operacion", dim]).groupBy(
-            "anio", "trimestre", "tipo_operacion", F.col(col).alias("pais")
-        ).agg(
-            _count().alias("cantidad_items"),
-            sum_money("fob_dolar").alias("fob_total"),
-            sum_money("kilo_neto").alias("kilo_neto_total"),
-        )
+    for key, dim, name_col, kind, gid in (
+        ("pais_origen_key", "dim_pais_origen", "pais_origen_desc", "ORIGEN", 0b00001),
+        ("pais_destino_key", "dim_pais_destino", "pais_desc_desc", "DESTINO", 0b00010),
+    ):
+        names = broadcast_if_small(wh.dim(dim).select(key, F.col(name_col).alias("pais")), known_rows=wh.rows(dim))
+        h = (agg.where((F.col("_gid") == gid) & F.col(key).isNotNull() & F.col("operacion_key").isNotNull())
+             .join(op, "operacion_key").join(names, key))
         h = with_share(h, "fob_total", ["anio", "tipo_operacion"], "pct_fob", 2)
         halves.append(h.select("anio", "trimestre", "tipo_operacion", "pais", F.lit(kind).alias("tipo_pais"),
                                "cantidad_items", "fob_total", "kilo_neto_total", "pct_fob"))
