@@ -28,7 +28,7 @@ def summary(text: str) -> str:
 if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session()
-    from tradewh.plans import marts, quality, reports, staging
+    from tradewh.plans import marts, quality, reports, staging, views
     from tradewh.plans.fact import build_fact
     from tradewh.plans.warehouse import fixture_warehouse
 
@@ -40,6 +40,7 @@ if __name__ == "__main__":
         "R2 top countries (latest year, top-k, rank of k rows)": reports.r2_top_countries(wh),
         "R7 red share (fact, one GROUP BY)": reports.r7_red_share(wh),
         "Q6 FK check (one fact scan)": quality.fk_check(wh),
+        "V2 origin/destination view (one fact scan, grouping sets)": views.v_top_paises(wh),
     }
     out = ["# Physical plans (explain formatted)", "",
            f"Generated by `scripts/explain_plans.py` on `{sf}` with AQE on; the operator",
