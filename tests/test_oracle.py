@@ -2,17 +2,17 @@
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from tradewh.registry import ORACLE, QUERIES
 from tests.compare import compare
 
 SF = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, name):
     res = compare(spark, SF, [name], verbose=False)
     assert res[name] == "OK", res[name]
