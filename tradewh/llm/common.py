@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -9,7 +10,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tradewh.session import ensure_checkpoint_dir
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Python workers look for this package where the driver found it (beside
+    wherever else they look: on a cluster it is installed)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    path = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in path.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (path, root) if x)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    let_workers_import(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -5,14 +5,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewh.llm import arrow_files, packing, quality, simhash, toxicity
+from tradewh.llm import (arrow_files, lattice_lm, licenses, packing, permutation_index, pieces, quality, simhash, toxicity,
+                         warc)
 from tradewh.llm.common import in_fold, table
+from tradewh.operators.materialize import materialize
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -24,21 +34,53 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", in_fold("doc_id", 5, 0).alias("held_out"), "score", "predicted", F.size("spans").alias("n_spans"))
 
 
+def op6_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def op7_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrow_files.read_documents(arrow_files.write(table(spark, sf_dir, "documents")))
 
 
+def op8_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lattice_lm.score_documents(table(spark, sf_dir, "documents"), ~in_fold("doc_id", 7, 2))
+    return scored.withColumn("learned", ~F.col("learned")).withColumnRenamed("learned", "held_out")
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.read_records(warc.write(table(spark, sf_dir, "pages")), with_payload=False)
+    return warc.page_digest(warc.assemble(materialize(records, "warc-records")))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_quality_rules": op2_quality_rules,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_toxicity": op5_toxicity,
+    "op6_permutation_index": op6_permutation_index,
     "op7_arrow_sequences": op7_arrow_sequences,
+    "op8_lattice_lm": op8_lattice_lm,
+    "op9_warc": op9_warc,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op9_warc": """
+WITH payloads AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest
+    FROM pages
+), latest AS (
+    SELECT digest, n, max(page_id) AS top FROM payloads WHERE n >= 1000 GROUP BY digest, n
+)
+SELECT p.page_id, p.n AS payload_bytes, p.digest AS payload_digest,
+       CASE WHEN l.top <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN l.top <> p.page_id THEN l.top END AS refers_to
+FROM payloads p LEFT JOIN latest l ON p.digest = l.digest AND p.n = l.n
+""",
+}
