@@ -1,7 +1,7 @@
 """Toxicity: a two-state linear-chain conditional random field over words.
 
 Labels mark whole documents, so the tokens of the fitting sample are labelled
-first: a word, or a four- or five-letter stem, that occurs in many toxic
+first: a word, or a stem of four to eight letters, that occurs in many toxic
 documents and (nearly) never in clean ones marks its tokens as toxic. The CRF
 is then fitted to these labelled tokens (word and stem weights, transitions,
 start), and scoring runs forward-backward over every sentence of every text.
@@ -35,6 +35,8 @@ from tradewh.llm.common import in_fold, pick
 
 FIT_DOCS = 1500
 FIT_CHARS = 20_000
+#: Letters of the stems that stand beside a word.
+STEMS = range(4, 9)
 #: A sequence ends at these marks, or after so many words.
 SEQUENCE = 64
 TOKEN = re.compile(r"\w+|[.!?\n]")
@@ -103,9 +105,9 @@ def sequences(is_break: np.ndarray, doc_of: np.ndarray) -> tuple[np.ndarray, np.
 # -- features and fit --------------------------------------------------------
 
 def features(token: str) -> list[str]:
-    """The word, and its stems of four and five letters."""
+    """The word, and its stems."""
     w = token.lower()
-    return [w] + [f"{w[:k]}-" for k in (4, 5) if len(w) >= k]
+    return [w] + [f"{w[:k]}-" for k in STEMS if len(w) >= k]
 
 
 def _near_copies_out(texts: list[str], toxic: list[int]) -> list[int]:
@@ -157,7 +159,7 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 30, l2: float = 1e-3)
     chosen = label_stems([{f for i in set(ids) for f in feats[i]} for ids in sets], y_doc)
     seen = Counter(f for fs in feats for f in fs)
     index = {f: k for k, f in enumerate(sorted(f for f, n in seen.items() if n > 1 or f in chosen or not f.endswith("-")))}
-    wide = np.full((len(words), 3), len(index))
+    wide = np.full((len(words), 1 + len(STEMS)), len(index))
     for i, fs in enumerate(feats):
         own = [index[f] for f in fs if f in index]
         wide[i, :len(own)] = own
@@ -185,7 +187,7 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 30, l2: float = 1e-3)
         g = y - p
         by_word = np.bincount(tok, g, len(words))
         grad = np.zeros(len(w))
-        for k in range(3):
+        for k in range(wide.shape[1]):
             grad += np.bincount(wide[:, k], by_word, len(w))
         r, v = np.clip(fwd[nxt - 1], -40, 40), np.clip(emit[nxt] + bwd[nxt], -40, 40)
         four = np.stack([np.exp(a * r + b * v + trans[a, b]) for a in (0, 1) for b in (0, 1)])
