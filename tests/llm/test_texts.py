@@ -189,8 +189,10 @@ def test_toxicity_held_out_accuracy(spark):
 
 
 def test_toxicity_spans_and_edges(spark, docs, no_docs):
-    toxic = [(100 + i, f"Some words here, you vile gnurf number {i} of many. And a clean sentence.") for i in range(40)]
-    clean = [(200 + i, f"Some words here, you fine reader number {i} of many. And a clean sentence.") for i in range(40)]
+    rng = random.Random(9)
+    prose = lambda: " ".join(rng.choices("some plain words that any text may hold in whatever order they come".split(), k=12))
+    toxic = [(100 + i, f"{prose()} gnurf {prose()}. {prose()}.") for i in range(40)]
+    clean = [(200 + i, f"{prose()} and {prose()}. {prose()}.") for i in range(40)]
     train = spark.createDataFrame(toxic + clean, "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i < 200)) for i, _ in toxic + clean] + [(None, 1), (5, None)], "doc_id long, toxic int")
     model = toxicity.fit_toxicity(train, labels)
