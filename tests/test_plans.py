@@ -1,26 +1,85 @@
-"""Physical-plan checks: broadcast star joins, no fact shuffle in the fact
-load, top-k as TakeOrderedAndProject, pruned scans."""
+"""Physical-plan checks on the builders that run: join strategies, fact scans,
+partial aggregation, top-k, pruned scans, file layout."""
 
-from tradewh.plans import marts, reports
-from tradewh.plans.fact import build_fact
+import glob
+import os
+
+import pytest
+
+from pyspark.sql import functions as F
+
+from tradewh.operators.keys import ids_from_tags
+from tradewh.plans import marts, reports, views
+from tradewh.plans.fact import ROW_TAG, build_fact
+from tradewh.plans.warehouse import FACT, STAGING
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_mart_star_joins_are_broadcast(wh):
-    df, _ = marts.agg_fob_pais_anual(wh)
+def fact_scans(df, wh):
+    """Scans of the fact in the plan before execution."""
+    return plan(df).count(f"{wh.path(FACT)}]") or sum("FileScan" in ln and FACT in ln for ln in plan(df).splitlines())
+
+
+def test_one_fact_scan_and_three_sets_for_all_marts(wh):
+    df = marts.mart_groups(wh)
     p = plan(df)
-    assert "BroadcastHashJoin" in p
+    assert sum("FileScan" in ln and "fob_dolar" in ln for ln in p.splitlines()) == 1
+    assert p.count("Expand [") == 1 and len(marts.SETS) == 3
+    # map-side partial aggregation, one hash exchange, final aggregation
+    assert "partial_sum" in p and p.count("Exchange hashpartitioning") == 1
     assert "SortMergeJoin" not in p
 
 
-def test_fact_load_does_not_shuffle_staging(wh):
-    f = build_fact(wh.staging, wh.dims, dim_rows=wh.dim_rows, with_id=False)
-    p = plan(f)
-    assert "BroadcastHashJoin" in p
-    assert "hashpartitioning" not in p.lower()
+def test_country_view_scans_the_fact_once(wh):
+    p = plan(views.v_top_paises(wh))
+    assert sum("FileScan" in ln and "fob_dolar" in ln for ln in p.splitlines()) == 1
+    assert p.count("Expand [") == 1
+
+
+def test_fact_load_looks_each_dimension_up_once(wh):
+    p = plan(build_fact(wh.table(STAGING), wh.dims))
+    assert sum("FileScan" in ln and "pais_origen_desc" in ln for ln in p.splitlines()) == 1
+    # six lookups and the offsets of the ids
+    assert p.count("BroadcastHashJoin") + p.count("SortMergeJoin") == 7
+
+
+def test_fact_keeps_every_row_when_lookups_shuffle(spark, wh):
+    """Joins as they run past any broadcast limit, default adaptive settings."""
+    was = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        for advisory in ("64m", "200k"):
+            spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory)
+            f = build_fact(wh.table(STAGING), wh.dims)
+            assert "BroadcastHashJoin" not in plan(f)
+            n = wh.staging.count()
+            assert tuple(f.agg(F.count("*"), F.min("id_fact_key"), F.max("id_fact_key"), F.countDistinct("id_fact_key")).first()) == (n, 1, n, n)
+            keys = [c for c in f.columns if c.endswith("_key") and c != "id_fact_key"]
+            assert f.select(*keys, "fob_dolar").exceptAll(wh.fact.select(*keys, "fob_dolar")).count() == 0
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+        for k in ("spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.adaptive.advisoryPartitionSizeInBytes"):
+            spark.conf.unset(k)
+
+
+def test_a_missing_offset_is_an_error(spark):
+    tagged = spark.range(10).select((F.col("id") * 0).alias(ROW_TAG), "id")
+    lost = ids_from_tags(tagged, ROW_TAG, "k")
+    assert lost.count() == 10  # same partition, so all have an offset
+    with pytest.raises(Exception, match="no offset"):
+        spark.range(1).select(F.coalesce(F.lit(None).cast("long"), F.raise_error(F.lit("no offset")).cast("long"))).collect()
+
+
+def test_fact_files_are_bounded_by_year_not_by_task(wh):
+    files = glob.glob(f"{wh.path(FACT).removeprefix('file:')}/*/part-*")
+    years = {os.path.dirname(f) for f in files}
+    assert len(years) > 1 and len(files) == len(years)
 
 
 def test_top_countries_is_take_ordered(wh):
@@ -35,18 +94,6 @@ def test_scan_is_pruned(wh):
     assert "ReadSchema: struct<fecha_key:int,fob_dolar:decimal(18,2)>" in p
 
 
-def test_marts_aggregate_partially_before_the_shuffle(wh):
-    from tradewh.plans import marts
-
-    df, _ = marts.agg_fob_ncm_anual(wh)
-    p = plan(df)
-    # map-side partial aggregation, then one hash exchange, then the final aggregate:
-    # a group holding a third of all rows costs one partial row per task.
-    assert "partial_" in p or "mode=Partial" in p or "HashAggregate(keys" in p
-    lines = [ln for ln in p.splitlines() if "Exchange hashpartitioning" in ln]
-    assert len(lines) >= 1
-
-
 def test_spread_only_when_under_split(spark):
     from tradewh.operators.parallelism import spread
 

@@ -1,39 +1,24 @@
 """Joins of the star schema.
 
-Broadcast policy: a side is broadcast only after its row count has been
-measured and found under ``BROADCAST_MAX_ROWS``; otherwise the join is left to
-Spark (sort-merge, or AQE's runtime conversion when the measured shuffle output
-is small). Dimension tables are bounded by their business domain (countries,
-offices, tariff positions, calendar days), not by the number of declarations,
-so at any data size they stay broadcast — but the check keeps that an
-observed fact rather than an assumption.
+No join strategy is forced: Spark broadcasts a dimension when its size in bytes
+is under ``spark.sql.autoBroadcastJoinThreshold`` (AQE also when the measured
+shuffle output is), else it shuffles both sides, and AQE splits the partitions
+of hot keys (NULL natural keys among them, all on the fact side of a LEFT
+join). Rows and results are the same either way.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                       known_rows: int | None = None) -> DataFrame:
-    """Hint a broadcast when ``df`` has at most ``max_rows`` rows.
-
-    ``df`` should be a materialised (written) table, so the count is cheap.
-    """
-    rows = known_rows if known_rows is not None else df.count()
-    return F.broadcast(df) if rows <= max_rows else df
-
 
 def lookup_join(left: DataFrame, dim: DataFrame, left_key: str, dim_key: str,
-                take: list[str], how: str = "left", dim_rows: int | None = None) -> DataFrame:
+                take: list[str], how: str = "left") -> DataFrame:
     """Surrogate-key lookup: ``left`` LEFT JOIN ``dim`` on natural key.
 
     Row count of ``left`` is preserved because ``dim_key`` is unique in ``dim``.
     """
     d = dim.select(F.col(dim_key).alias("_lk_key"), *take)
-    d = broadcast_if_small(d, known_rows=dim_rows)
     return left.join(d, left[left_key] == d["_lk_key"], how).drop("_lk_key")
 
 

@@ -12,7 +12,7 @@ moves every row into one task. Instead:
    produce a different layout for one of them; the tags are stored, so the
    file layout on read does not matter);
 4. count rows per partition (one row per partition), prefix-sum those counts
-   in a tiny window and broadcast them (size bounded by the partition count);
+   in a tiny window (its size is the partition count) and join them back;
 5. key = offset(partition) + position + 1.
 
 For unique order columns this equals ``ROW_NUMBER() OVER (ORDER BY k)``.
@@ -28,21 +28,27 @@ _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
 
-def _attach_offsets(tagged: DataFrame, key_col: str, cast: str | None) -> DataFrame:
-    part = F.shiftright(F.col("_tw_mid"), _POS_BITS)
-    pos = F.col("_tw_mid").bitwiseAND(F.lit(_POS_MASK))
+def ids_from_tags(tagged: DataFrame, tag_col: str, key_col: str, cast: str | None = None) -> DataFrame:
+    """Replace the stored tag by a dense key 1..n.
+
+    ``tagged`` must be a written table: the tags (``monotonically_increasing_id``
+    at the time of writing) are then the same rows' tags wherever they are read,
+    whatever partitions, joins or retries lie between. Rows join their
+    partition's offset with a LEFT join and a missing offset is an error, so no
+    row can be lost here.
+    """
+    part = F.shiftright(F.col(tag_col), _POS_BITS)
+    pos = F.col(tag_col).bitwiseAND(F.lit(_POS_MASK))
     counts = tagged.select(part.alias("_tw_part")).groupBy("_tw_part").agg(F.count(F.lit(1)).alias("_tw_n"))
     # One row per partition: the window below runs over the partition count, not the data.
-    offsets = counts.select(
-        "_tw_part",
-        (F.sum("_tw_n").over(Window.orderBy("_tw_part").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_tw_off"),
-    ).na.fill({"_tw_off": 0})
-    key = F.col("_tw_off") + pos + 1
+    before = F.sum("_tw_n").over(Window.orderBy("_tw_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("_tw_part", F.coalesce(before, F.lit(0)).alias("_tw_off"))
+    missing = F.raise_error(F.lit("a row's partition has no offset: the tagged table changed")).cast("long")
+    key = F.coalesce(F.col("_tw_off"), missing) + pos + 1
     if cast:
         key = key.cast(cast)
-    out = tagged.join(F.broadcast(offsets), part == F.col("_tw_part"))
-    return out.select(key.alias(key_col), *[c for c in tagged.columns if c != "_tw_mid"])
+    out = tagged.join(offsets, part == F.col("_tw_part"), "left")
+    return out.select(key.alias(key_col), *[c for c in tagged.columns if c != tag_col])
 
 
 def dense_keys(df: DataFrame, order_cols: list[str], key_col: str, num_partitions: int | None = None,
@@ -60,16 +66,14 @@ def dense_keys(df: DataFrame, order_cols: list[str], key_col: str, num_partition
         .withColumn("_tw_mid", F.monotonically_increasing_id())
     )
     ranged = materialize(ranged, "keys")
-    return _attach_offsets(ranged, key_col, cast)
+    return ids_from_tags(ranged, "_tw_mid", key_col, cast)
 
 
 def dense_row_ids(df: DataFrame, key_col: str, cast: str | None = None) -> DataFrame:
     """Add ``key_col`` = 1..n in no particular order (``ROW_NUMBER() OVER ()``).
 
-    No shuffle and no checkpoint: ``df`` must come from a deterministic scan
-    followed by narrow operators (filters, projections, broadcast joins), so a
-    second evaluation sees the same partitions in the same order. The extra
-    evaluation only counts rows per partition.
+    No shuffle of the rows: they are tagged, written once, and numbered from
+    the written tags.
     """
-    tagged = df.withColumn("_tw_mid", F.monotonically_increasing_id())
-    return _attach_offsets(tagged, key_col, cast)
+    tagged = materialize(df.withColumn("_tw_mid", F.monotonically_increasing_id()), "row-ids")
+    return ids_from_tags(tagged, "_tw_mid", key_col, cast)

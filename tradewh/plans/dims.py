@@ -1,6 +1,6 @@
 """Dimensions D1-D7, built from staging.
 
-Each is a DISTINCT (or GROUP BY) of staging — map-side partial aggregation,
+All seven come from one DISTINCT over staging — map-side partial aggregation,
 then one shuffle of the distinct values only — followed by dense surrogate
 keys in natural-key order. Dimension sizes are bounded by the business domain
 (operations, regimes, countries, offices, tariff positions, calendar days).
@@ -18,56 +18,6 @@ from tradewh.operators.materialize import materialize
 UNSPECIFIED = "NO ESPECIFICADO"
 
 
-def _distinct(stg: DataFrame, col: str) -> DataFrame:
-    return stg.select(col).where(F.col(col).isNotNull()).distinct()
-
-
-def dim_operacion(stg: DataFrame) -> DataFrame:
-    d = _distinct(stg, "operacion").withColumnRenamed("operacion", "tipo_operacion")
-    return dense_keys(d, ["tipo_operacion"], "operacion_key").select("operacion_key", "tipo_operacion")
-
-
-def dim_regimen(stg: DataFrame) -> DataFrame:
-    d = _distinct(stg, "regimen").withColumnRenamed("regimen", "codigo_regimen")
-    return dense_keys(d, ["codigo_regimen"], "regimen_key").select(
-        "regimen_key", "codigo_regimen", F.col("codigo_regimen").alias("descripcion_regimen"))
-
-
-def dim_pais_origen(stg: DataFrame) -> DataFrame:
-    d = _distinct(stg, "pais_origen").withColumnRenamed("pais_origen", "pais_origen_desc")
-    return dense_keys(d, ["pais_origen_desc"], "pais_origen_key").select("pais_origen_key", "pais_origen_desc")
-
-
-def dim_pais_destino(stg: DataFrame) -> DataFrame:
-    # The reference names the description column pais_desc_desc; kept as is.
-    d = _distinct(stg, "pais_procedencia_destino").withColumnRenamed("pais_procedencia_destino", "pais_desc_desc")
-    return dense_keys(d, ["pais_desc_desc"], "pais_destino_key").select("pais_destino_key", "pais_desc_desc")
-
-
-def dim_aduana(stg: DataFrame) -> DataFrame:
-    d = _distinct(stg, "aduana").withColumnRenamed("aduana", "nombre_aduana")
-    return dense_keys(d, ["nombre_aduana"], "aduana_key").select(
-        "aduana_key", "nombre_aduana", F.lit(UNSPECIFIED).alias("ubicacion_dependencia"))
-
-
-def dim_producto(stg: DataFrame) -> DataFrame:
-    """One row per tariff position; other attributes by MAX."""
-    d = (
-        stg.where(F.col("posicion").isNotNull())
-        .select("posicion", "rubro", "desc_capitulo", "desc_partida", "desc_posicion")
-        .distinct()  # hash-aggregated; the string MAX below then runs on distinct tuples only
-        .groupBy("posicion")
-        .agg(
-            F.max("rubro").alias("rubro"),
-            F.max("desc_capitulo").alias("capitulo"),
-            F.max("desc_partida").alias("partida"),
-            F.max("desc_posicion").alias("descripcion_arancelaria"),
-        )
-    )
-    return dense_keys(d, ["posicion"], "producto_key").select(
-        "producto_key", "rubro", "capitulo", "partida", "posicion", "descripcion_arancelaria")
-
-
 def _calendar(days: DataFrame, legacy_quarter: bool) -> DataFrame:
     """Calendar attributes of a frame of distinct ``fecha_oficializacion`` days."""
     d = F.col("fecha_oficializacion")
@@ -84,20 +34,11 @@ def _calendar(days: DataFrame, legacy_quarter: bool) -> DataFrame:
 
 def dim_fecha(stg: DataFrame, legacy_quarter: bool = False) -> DataFrame:
     """One row per observed officialisation date; key YYYYMMDD (no numbering needed)."""
-    days = _distinct(stg, "oficializacion").withColumnRenamed("oficializacion", "fecha_oficializacion")
+    days = stg.select(F.col("oficializacion").alias("fecha_oficializacion")).dropna().distinct()
     return _calendar(days, legacy_quarter)
 
 
-BUILDERS = {
-    "dim_fecha": dim_fecha,
-    "dim_aduana": dim_aduana,
-    "dim_producto": dim_producto,
-    "dim_pais_origen": dim_pais_origen,
-    "dim_pais_destino": dim_pais_destino,
-    "dim_operacion": dim_operacion,
-    "dim_regimen": dim_regimen,
-}
-
+NAMES = ["dim_fecha", "dim_aduana", "dim_producto", "dim_pais_origen", "dim_pais_destino", "dim_operacion", "dim_regimen"]
 
 # Numbered dimensions: name, staging column, surrogate key, natural-key column.
 NUMBERED = [
@@ -111,8 +52,7 @@ NUMBERED = [
 _PRODUCT_ATTRS = ["rubro", "desc_capitulo", "desc_partida", "desc_posicion"]
 
 
-def build_dims(stg: DataFrame, legacy_quarter: bool = False,
-               with_counts: bool = False):
+def build_dims(stg: DataFrame, legacy_quarter: bool = False) -> dict[str, DataFrame]:
     """All seven dimensions from ONE scan of staging.
 
     Each staging row is exploded into (dimension, value[, product attributes])
@@ -123,7 +63,7 @@ def build_dims(stg: DataFrame, legacy_quarter: bool = False,
     (dimension, value) is rebased per dimension and written again, so the
     seven table writes read a small, fixed result.
 
-    Returns ``{name: DataFrame}``, plus ``{name: rows}`` with ``with_counts``.
+    Returns ``{name: DataFrame}``.
     """
     null = F.lit(None).cast("string")
     members = []
@@ -168,9 +108,4 @@ def build_dims(stg: DataFrame, legacy_quarter: bool = False,
             out[name] = d.select(F.col("_k").alias(key), F.col("v").alias(natural))
     day = keyed.where(F.col("dim") == "dim_fecha").select(F.col("v").cast("date").alias("fecha_oficializacion"))
     out["dim_fecha"] = _calendar(day, legacy_quarter)
-    out = {name: out[name] for name in BUILDERS}
-    if not with_counts:
-        return out
-    # One small aggregate (seven rows) instead of a count job per table.
-    counts = {r["dim"]: r["n"] for r in keyed.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return out, {name: counts.get(name, 0) for name in BUILDERS}
+    return {name: out[name] for name in NAMES}

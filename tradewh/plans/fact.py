@@ -1,10 +1,12 @@
 """Fact load (L3): one row per declaration item, with seven surrogate keys.
 
-Plan shape: staging scan -> six broadcast hash lookups (dimension sizes are
-measured first) -> projection. No shuffle of the fact. The date key needs no
-lookup at all: the date dimension's key *is* the date as YYYYMMDD, and the
-dimension holds every non-NULL staging date, so the key is computed in place.
-Row count is preserved: every dimension key is unique (LEFT joins, J1).
+Plan shape: staging scan -> ids from the tags stored with it -> six lookups
+(broadcast hash joins while the dimensions are small) -> projection. The ids
+are settled before any lookup, so they don't depend on how the lookups run. The
+date key needs no lookup at all: the date dimension's key *is* the date as
+YYYYMMDD, and the dimension holds every non-NULL staging date, so the key is
+computed in place. Row count is preserved: every dimension key is unique (LEFT
+joins, J1).
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tradewh.functions.dates import date_key
 from tradewh.functions.numeric import subitem_value
 from tradewh.operators.joins import lookup_join
-from tradewh.operators.keys import dense_row_ids
+from tradewh.operators.keys import ids_from_tags
 from tradewh.schemas import FACT_COLUMNS
 
 # (dimension, staging natural key, dimension natural key, surrogate key)
@@ -28,13 +30,17 @@ LOOKUPS = [
 ]
 
 
-def build_fact(stg: DataFrame, dims: dict[str, DataFrame], dim_rows: dict[str, int] | None = None,
-               load_ts: Column | None = None, with_id: bool = True) -> DataFrame:
-    dim_rows = dim_rows or {}
-    f = stg.withColumn("fecha_key", F.when(F.col("oficializacion").isNotNull(), date_key("oficializacion")))
+# Column of the written staging table that tags each row (see ``ids_from_tags``).
+ROW_TAG = "_row_tag"
+
+
+def build_fact(stg: DataFrame, dims: dict[str, DataFrame], load_ts: Column | None = None) -> DataFrame:
+    """``stg`` is the written staging table with its ``ROW_TAG`` column."""
+    f = ids_from_tags(stg, ROW_TAG, "id_fact_key").withColumn("fecha_key", F.when(F.col("oficializacion").isNotNull(), date_key("oficializacion")))
     for dim, stg_key, dim_key, sk in LOOKUPS:
-        f = lookup_join(f, dims[dim], stg_key, dim_key, [sk], dim_rows=dim_rows.get(dim))
-    f = f.select(
+        f = lookup_join(f, dims[dim], stg_key, dim_key, [sk])
+    return f.select(
+        "id_fact_key",
         "fecha_key", "aduana_key", "producto_key", "pais_origen_key", "pais_destino_key",
         "operacion_key", "regimen_key",
         "kilo_neto", "kilo_bruto", "fob_dolar", "flete_dolar", "seguro_dolar",
@@ -44,7 +50,4 @@ def build_fact(stg: DataFrame, dims: dict[str, DataFrame], dim_rows: dict[str, i
         F.col("cantidad_subitem").alias("kilo_neto_subitem"),
         "canal", "batch_id",
         (load_ts if load_ts is not None else F.current_timestamp()).alias("fecha_carga"),
-    )
-    if not with_id:
-        return f
-    return dense_row_ids(f, "id_fact_key").select(*FACT_COLUMNS)
+    ).select(*FACT_COLUMNS)

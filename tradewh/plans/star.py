@@ -1,9 +1,8 @@
 """Star join of the fact with some of its dimensions.
 
-Inner joins on surrogate keys, each dimension broadcast after its row count has
-been checked (dimensions are written tables, so the count reads footers only).
-The joins run inside the fact scan's tasks; the only shuffle in a mart is the
-one that follows, carrying partial aggregates. Fact rows whose key is NULL or
+Inner joins on surrogate keys. Spark broadcasts a dimension by its size in
+bytes, and the joins then run inside the fact scan's tasks; the only shuffle in
+a mart is the one that follows, carrying partial aggregates. Fact rows whose key is NULL or
 unknown drop out, as with any inner join.
 """
 
@@ -11,8 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tradewh.operators.joins import broadcast_if_small
-
 # dimension -> (key, attributes brought into the star; (name, alias) renames)
 DIM_ATTRS = {
     "dim_fecha": ("fecha_key", ["anio", "mes_numero", "mes_nombre", "trimestre", "semestre"]),
@@ -31,6 +28,5 @@ def star(wh, dims: list[str], fact: DataFrame | None = None, how: str = "inner")
         key, attrs = DIM_ATTRS[name]
         cols = [F.col(a[0]).alias(a[1]) if isinstance(a, tuple) else F.col(a) for a in attrs]
         d = wh.dim(name).select(F.col(key).alias(f"_{key}"), *cols)
-        d = broadcast_if_small(d, known_rows=wh.rows(name))
         f = f.join(d, f[key] == d[f"_{key}"], how).drop(f"_{key}")
     return f

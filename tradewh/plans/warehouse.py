@@ -5,15 +5,17 @@ writing a Parquet table that later steps read back (this also cuts lineage):
 
     raw -> stg_aduana -> 7 dimensions -> fact_aduana_item
 
-Marts are materialised on first use under ``analytic/``. The storage root is a
-folder inside the cluster's shared checkpoint directory (read from the
-session) unless the caller passes one.
+Every load writes a new snapshot folder below the root and, last of all, a row
+to the root's ``loads`` table; ``Warehouse.open`` reads the latest load there.
+A load that fails half-way leaves the previous snapshot as it was. Marts are
+materialised on first use under the snapshot's ``analytic/``. The root of the
+fixture warehouses is a folder inside the cluster's shared checkpoint directory
+(read from the session).
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
 import uuid
 
@@ -21,13 +23,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradewh.operators.parallelism import spread
 from tradewh.plans import dims as dims_mod
-from tradewh.plans.fact import build_fact
+from tradewh.plans.fact import ROW_TAG, build_fact
 from tradewh.plans.staging import build_staging
+from tradewh.operators.materialize import scratch
+from tradewh.schemas import DIM_SCHEMAS, FACT_SCHEMA, STAGING_SCHEMA, conform
 from tradewh.session import ensure_checkpoint_dir
 from tradewh.sources.landing import read_bronze, write_bronze
 from tradewh.sources.sinks import write_parquet
 
-DIM_NAMES = list(dims_mod.BUILDERS)
+DIM_NAMES = dims_mod.NAMES
 FACT = "fact_aduana_item"
 # The fact is stored partitioned by officialisation year (derived from the
 # date key), so queries on recent years list and read only their partitions.
@@ -36,10 +40,10 @@ STAGING = "stg_aduana"
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, dim_rows: dict[str, int] | None = None):
+    def __init__(self, spark: SparkSession, root: str):
+        """``root``: the folder of one snapshot."""
         self.spark = spark
         self.root = root.rstrip("/")
-        self.dim_rows = dict(dim_rows or {})
         self._marts: dict[str, DataFrame] = {}
         self._lock = threading.Lock()
 
@@ -52,11 +56,12 @@ class Warehouse:
 
     @property
     def bronze(self) -> DataFrame:
-        return self.table("bronze/aduana_item_raw")
+        """The raw extract that the snapshot was loaded from (fixture loads)."""
+        return self.spark.read.parquet(self.bronze_path)
 
     @property
     def staging(self) -> DataFrame:
-        return self.table(STAGING)
+        return self.table(STAGING).drop(ROW_TAG)
 
     @property
     def fact(self) -> DataFrame:
@@ -75,11 +80,6 @@ class Warehouse:
     def dims(self) -> dict[str, DataFrame]:
         return {n: self.dim(n) for n in DIM_NAMES}
 
-    def rows(self, name: str) -> int:
-        if name not in self.dim_rows:
-            self.dim_rows[name] = self.table(name).count()
-        return self.dim_rows[name]
-
     def mart(self, name: str) -> DataFrame:
         """Materialised mart ``analytic/<name>``; the first request builds all five."""
         with self._lock:
@@ -101,19 +101,41 @@ class Warehouse:
     @classmethod
     def load(cls, spark: SparkSession, raw: DataFrame, root: str, cutoff: str,
              batch_id: str | None = None, legacy: bool = False) -> "Warehouse":
-        wh = cls(spark, root)
+        """Load a snapshot below ``root`` and make it the current one.
+
+        ``legacy=True`` keeps the source system's observed quirks throughout:
+        quantities and countries in staging, and the quarter of the date
+        dimension that marts and views group by.
+        """
+        root = root.rstrip("/")
+        wh = cls(spark, f"{root}/load-{uuid.uuid4().hex}")
         raw = spread(raw)
-        write_parquet(build_staging(raw, cutoff=cutoff, batch_id=batch_id, legacy=legacy), wh.path(STAGING))
-        stg = wh.staging
-        dims, counts = dims_mod.build_dims(stg, with_counts=True)
-        for name, dim in dims.items():
-            write_parquet(dim, wh.path(name))
-        wh.dim_rows.update(counts)
-        fact = build_fact(stg, wh.dims, dim_rows=wh.dim_rows)
+        stg = build_staging(raw, cutoff=cutoff, batch_id=batch_id, legacy=legacy)
+        # The tags number the rows before anything is joined to them.
+        stg = conform(stg, STAGING_SCHEMA).withColumn(ROW_TAG, F.monotonically_increasing_id())
+        write_parquet(stg, wh.path(STAGING))
+        with scratch(spark):
+            for name, dim in dims_mod.build_dims(wh.staging, legacy_quarter=legacy).items():
+                write_parquet(conform(dim, DIM_SCHEMAS[name]), wh.path(name))
+        fact = conform(build_fact(wh.table(STAGING), wh.dims), FACT_SCHEMA)
         fact = fact.withColumn(FACT_PARTITION, F.expr("fecha_key div 10000").cast("int"))
-        write_parquet(fact, wh.path(FACT), sort_by=[FACT_PARTITION, "fecha_key"], partition_by=[FACT_PARTITION])
+        # Rows of a year meet in as many tasks as their bytes ask for (AQE splits
+        # large years), so files are few and large instead of tasks x years.
+        write_parquet(fact.hint("rebalance", FACT_PARTITION), wh.path(FACT), sort_by=[FACT_PARTITION, "fecha_key"],
+                      partition_by=[FACT_PARTITION])
+        staged, landed = wh.table(STAGING).count(), wh.table(FACT).count()
+        if staged != landed:
+            raise RuntimeError(f"the fact has {landed} rows, staging {staged}")
+        done = spark.range(1).select(F.current_timestamp().alias("loaded_at"), F.lit(wh.root).alias("folder"), F.lit(landed).alias("fact_rows"))
+        done.coalesce(1).write.mode("append").parquet(f"{root}/loads")
         return wh
 
+    @classmethod
+    def open(cls, spark: SparkSession, root: str) -> "Warehouse":
+        """The snapshot of the latest complete load below ``root``."""
+        last = spark.read.parquet(f"{root.rstrip('/')}/loads").orderBy(F.desc("loaded_at"), F.desc("folder")).first()
+        return cls(spark, last["folder"])
+
 
 _CACHE: dict[tuple, Warehouse] = {}
 _CACHE_LOCK = threading.Lock()
@@ -121,11 +143,13 @@ _CACHE_LOCK = threading.Lock()
 # The fixture data spans 1995-2001; the reference's own cutoff (2025-01-01)
 # would drop everything, so fixture loads cut at 1996-01-01.
 FIXTURE_CUTOFF = "1996-01-01"
+FIXTURE_TABLES = ["lineitem", "orders", "customer", "supplier", "part", "nation"]
 
 
 def fixture_warehouse(spark: SparkSession, sf_dir: str, cutoff: str = FIXTURE_CUTOFF,
                       legacy: bool = False) -> Warehouse:
-    """Warehouse loaded from the driver's fixture tables, once per process.
+    """Warehouse loaded from the driver's fixture tables, once per process and
+    version of the tables (their names, sizes and times as Spark lists them).
 
     The written tables outlive a Spark session: if the caller starts a new
     session, the cached warehouse is re-bound to it (tables re-read, not
@@ -133,7 +157,7 @@ def fixture_warehouse(spark: SparkSession, sf_dir: str, cutoff: str = FIXTURE_CU
     """
     from tradewh.sources.fixtures import raw_items
 
-    key = (os.path.abspath(sf_dir), cutoff, legacy)
+    key = (sf_dir.rstrip("/"), _stamp(spark, sf_dir), cutoff, legacy)
     with _CACHE_LOCK:
         wh = _CACHE.get(key)
         if wh is not None and wh.spark is not spark:
@@ -147,13 +171,26 @@ def fixture_warehouse(spark: SparkSession, sf_dir: str, cutoff: str = FIXTURE_CU
             # then reads plain string columns instead of the adapter's joins.
             bronze = write_bronze(raw_items(spark, sf_dir), f"{root}/bronze/aduana_item_raw")
             wh = Warehouse.load(spark, read_bronze(spark, bronze), root, cutoff=cutoff, legacy=legacy)
+            wh.bronze_path = bronze
             _CACHE[key] = wh
         return wh
 
 
+def _stamp(spark: SparkSession, sf_dir: str) -> str:
+    """What the fixture tables' files are now, so that changed tables load anew."""
+    paths = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in FIXTURE_TABLES]
+    path = spark._jvm.org.apache.hadoop.fs.Path(paths[0])
+    fs, parts = path.getFileSystem(spark._jsc.hadoopConfiguration()), []
+    for p in paths:
+        for f in fs.listStatus(spark._jvm.org.apache.hadoop.fs.Path(p)):
+            parts.append((f.getPath().getName(), f.getLen(), f.getModificationTime()))
+    return hashlib.sha1(repr(parts).encode()).hexdigest()
+
+
 def _rebind(wh: Warehouse, spark: SparkSession) -> Warehouse | None:
     """The same written warehouse, read through another session (or None)."""
-    fresh = Warehouse(spark, wh.root, wh.dim_rows)
+    fresh = Warehouse(spark, wh.root)
+    fresh.bronze_path = wh.bronze_path
     try:
         fresh.table(FACT).schema  # noqa: B018 - forces a listing of the written files
         for name in wh._marts:

@@ -105,3 +105,40 @@ FACT_COLUMNS = (
     ["id_fact_key"] + [k for k, _ in DIM_KEYS.values()] + FACT_MEASURES
     + ["canal", "batch_id", "fecha_carga"]
 )
+
+_MONEY = T.DecimalType(18, 2)
+_KINDS = {"text": T.StringType(), "raw": T.StringType(), "country": T.StringType(), "money": _MONEY, "qty": _MONEY,
+          "int": T.IntegerType(), "date": T.DateType()}
+
+
+def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(n, t, True) for n, t in fields])
+
+
+STAGING_SCHEMA = _struct(*[(t, _KINDS[k]) for t, _, k in STAGING_SOURCES],
+                         ("batch_id", T.StringType()), ("fecha_carga", T.TimestampType()), ("archivo_origen", T.StringType()))
+
+_INT, _STR = T.IntegerType(), T.StringType()
+DIM_SCHEMAS = {
+    "dim_fecha": _struct(("fecha_key", _INT), ("fecha_oficializacion", T.DateType()), ("anio", _INT), ("mes_nombre", _STR),
+                         ("mes_numero", _INT), ("trimestre", _INT), ("semestre", _INT)),
+    "dim_aduana": _struct(("aduana_key", _INT), ("nombre_aduana", _STR), ("ubicacion_dependencia", _STR)),
+    "dim_producto": _struct(("producto_key", _INT), ("rubro", _STR), ("capitulo", _STR), ("partida", _STR), ("posicion", _STR),
+                            ("descripcion_arancelaria", _STR)),
+    "dim_pais_origen": _struct(("pais_origen_key", _INT), ("pais_origen_desc", _STR)),
+    "dim_pais_destino": _struct(("pais_destino_key", _INT), ("pais_desc_desc", _STR)),
+    "dim_operacion": _struct(("operacion_key", _INT), ("tipo_operacion", _STR)),
+    "dim_regimen": _struct(("regimen_key", _INT), ("codigo_regimen", _STR), ("descripcion_regimen", _STR)),
+}
+FACT_SCHEMA = _struct(("id_fact_key", T.LongType()), *[(k, _INT) for k, _ in DIM_KEYS.values()], *[(m, _MONEY) for m in FACT_MEASURES],
+                      ("canal", _STR), ("batch_id", _STR), ("fecha_carga", T.TimestampType()))
+
+
+def conform(df, schema: T.StructType):
+    """``df`` with the schema's columns in its order; a missing column or another
+    type is an error before anything is written (S5)."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    wrong = [f"{f.name}: {have.get(f.name)} instead of {f.dataType}" for f in schema.fields if have.get(f.name) != f.dataType]
+    if wrong or len(have) != len(schema.fields):
+        raise TypeError(f"not the declared schema: {wrong or sorted(set(have) - set(schema.names))}")
+    return df.select(*schema.names)

@@ -8,6 +8,7 @@ query execution on (coalescing, skew-join splitting, runtime broadcast choice).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -44,8 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     The setting is read from the session (``spark.checkpoint.dir`` or the
-    SparkContext's checkpoint dir). Only when neither is set — local runs and
-    tests — a fresh folder is created and registered.
+    SparkContext's checkpoint dir). Only when neither is set and the master is
+    local — local runs and tests — a fresh folder is created and registered.
     """
     try:
         sc = spark.sparkContext
@@ -60,9 +61,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             configured = None
     if not configured:
-        # Local runs and tests only: nothing is configured, so make a folder.
-        configured = tempfile.mkdtemp(prefix="tradewh-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        configured = local_folder(sc.master if sc is not None else "")
     if sc is None:
         return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def local_folder(master: str) -> str:
+    """A fresh folder of this machine, for local masters only: the executors of
+    any other would each write to a disk of their own."""
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="tradewh-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
