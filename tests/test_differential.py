@@ -38,11 +38,12 @@ def py_money(s):
     t = s.replace(",", ".").strip()
     if not re.fullmatch(r"[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?", t):
         return None
+    # DOUBLE first, as the source system does: cents, then half away from zero.
     try:
-        d = Decimal(t).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
-    except InvalidOperation:
+        cents = Decimal(float(t) * 100.0).quantize(Decimal(1), rounding=ROUND_HALF_UP)
+    except (InvalidOperation, OverflowError):
         return None
-    return d if abs(d) < Decimal(10) ** 16 else None
+    return cents / 100 if abs(cents) < Decimal(10) ** 18 else None
 
 
 def py_int(s):
@@ -55,9 +56,18 @@ def py_int(s):
 def py_date(s):
     if s is None:
         return None
-    m = re.match(r"^\s*(\d{4,})[-/](\d{1,2})[-/](\d{1,2})(.*)$", s)
-    if not m or m.group(4) not in ("",) and not re.match(r"^[ T]\d", m.group(4)):
+    m = re.match(r"^\s*(\d{4,})([-/])(\d{1,2})\2(\d{1,2})(.*)$", s)
+    if not m:
         return None
+    rest = m.group(5).strip()
+    if rest:
+        if not re.match(r"[ T]", m.group(5)):
+            return None
+        try:
+            dt.time.fromisoformat(rest.lstrip("T"))
+        except ValueError:
+            return None
+    m = re.match(r"^\s*(\d+)[-/](\d+)[-/](\d+)", s)
     try:
         return dt.date(int(m.group(1)), int(m.group(2)), int(m.group(3)))
     except ValueError:
@@ -74,12 +84,13 @@ def gen(rng: random.Random, n: int):
         whole = rng.randint(0, 10**6)
         money = rng.choice([
             f"{whole},{rng.randint(0, 99):02d}", f"{whole}.{rng.randint(0, 99):02d}", f"{whole}",
-            f"{whole},{rng.randint(0, 999):03d}", "1.234,56", "nan", "inf", "12.5d", "", " 7,5 ", "-3,10",
+            f"{whole},{rng.randint(0, 999):03d}", f"{whole % 50},005", f"-{whole % 9},125", "1e20", f"{whole}e-3", f"{whole}{whole}{whole},1", "1.234,56", "nan", "inf", "12.5d", "", " 7,5 ", "-3,10",
         ])
         integer = rng.choice([str(rng.randint(1990, 2030)), f"{rng.randint(1990, 2030)}.0", "12.5", "x", "1e2"])
         y, mth, d = rng.randint(1995, 2030), rng.randint(1, 13), rng.randint(1, 31)
         date = rng.choice([f"{y}-{mth:02d}-{d:02d}", f"{y}/{mth}/{d}", f"{d:02d}/{mth:02d}/{y}", "S/D",
-                           f"{y}-{mth:02d}-{d:02d} 10:00:00", f"{y}{mth:02d}{d:02d}"])
+                           f"{y}-{mth:02d}-{d:02d} 10:00:00", f"{y}-{mth:02d}-{d:02d}T09:05", f"{y}-{mth:02d}-{d:02d}T", f"{y}-{mth:02d}-{d:02d} abc",
+                           f"{y}-{mth:02d}-{d:02d} 25:00:00", f"{y}-{mth:02d}/{d:02d}", f"{y}-{mth:02d}-{d:02d}T99", f"{y}{mth:02d}{d:02d}"])
         out.append((country, money, integer, date))
     return out
 

@@ -93,3 +93,29 @@ def test_calendar(spark):
 ])
 def test_decode_canal(spark, code, name):
     assert one(spark, code, decode_canal) == name
+
+
+@pytest.mark.parametrize("raw,expected", [
+    ("1,005", "1.00"), ("2,125", "2.13"), ("-2,125", "-2.13"), ("2,675", "2.68"), ("901,005", "901.01"), ("7,5", "7.50"), ("1e2", "100.00"),
+    ("1e20", None), ("1e400", None), ("x", None), ("9999999999999999", None), ("1234567890123,45", "1234567890123.45"),
+])
+def test_money_goes_through_double(spark, raw, expected):
+    from tradewh.functions import parse_money
+
+    assert one(spark, raw, parse_money) == (Decimal(expected) if expected else None)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sum_money_is_exact_beyond_bigint_cents(spark, ansi):
+    from tradewh.functions.numeric import sum_money
+
+    was = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        df = spark.range(20).select(F.lit("9000000000000000.07").cast("decimal(18,2)").alias("x"), (F.col("id") % 2).alias("g"))
+        assert df.agg(sum_money("x")).first()[0] == Decimal("180000000000000001.40")
+        neg = df.select((F.col("x") * F.when(F.col("g") == 0, -1).otherwise(1)).cast("decimal(18,2)").alias("x"))
+        assert neg.agg(sum_money("x")).first()[0] == 0
+        assert df.where("false").agg(sum_money("x")).first()[0] is None
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", was)

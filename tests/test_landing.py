@@ -38,3 +38,20 @@ def test_landing_header_mismatch_fails(spark):
     _write(os.path.join(d, "a.csv"), bad, [["x"] * len(bad)])
     with pytest.raises(Exception):
         read_landing_csv(spark, f"{d}/*.csv", sep=";").collect()
+
+
+def test_landing_reads_line_breaks_inside_fields(spark):
+    d = tempfile.mkdtemp(prefix="landing-", dir="/tmp")
+    row = ["x"] * len(RAW_COLUMNS)
+    row[RAW_COLUMNS.index("MERCADERIA")] = '"two\nlines; and ""quotes"""'
+    _write(os.path.join(d, "a.csv"), RAW_COLUMNS, [row, ["y"] * len(RAW_COLUMNS)])
+    rows = read_landing_csv(spark, f"{d}/*.csv", sep=";").collect()
+    assert len(rows) == 2 and rows[0]["MERCADERIA"] == 'two\nlines; and "quotes"'
+
+
+def test_other_errors_are_not_called_missing(spark):
+    d = tempfile.mkdtemp(prefix="landing-", dir="/tmp")
+    _write(os.path.join(d, "a.csv"), RAW_COLUMNS, [["x"] * len(RAW_COLUMNS)])
+    with pytest.raises(Exception) as caught:
+        read_landing_csv(spark, f"{d}/*.csv", encoding="no-such-charset").collect()
+    assert not isinstance(caught.value, LandingNotFound)

@@ -6,9 +6,13 @@ from pyspark.sql import Column, functions as F
 
 from tradewh.functions._util import col
 
-# Year first, then month and day, '-' or '/' separated; anything may follow
-# (a time part). Day-first and compact forms are rejected.
-DATE_PATTERN = r"^\s*\d{4,}[-/]\d{1,2}[-/]\d{1,2}"
+# Year first, then month and day, both separators '-' or both '/'; a valid time
+# part (and zone) may follow, anything else may not. Day-first and compact forms
+# are rejected.
+DATE_PATTERN = (
+    r"^\s*\d{4,}(?:-\d{1,2}-|/\d{1,2}/)\d{1,2}"
+    r"(?:(?: +|T)(?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?\s*(?:Z|UTC|[+-]\d{2}(?::?\d{2})?)?)?\s*$"
+)
 
 # Month names as the reference spells them, January..December.
 MONTH_NAMES_ES = [

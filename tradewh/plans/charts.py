@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tradewh.functions.numeric import round_half_away
-from tradewh.operators.pivot import CHANNEL_ORDER, OPERATIONS, pivot, select_existing
+from tradewh.operators.pivot import CHANNEL_ORDER, operations, pivot, select_existing
 from tradewh.operators.topk import top_k
 from tradewh.plans import reports
 
@@ -32,7 +32,7 @@ def chart_countries(wh) -> DataFrame:
 def chart_month_matrix(wh) -> DataFrame:
     """Month x operation matrix of the latest year's FOB (mean, as pandas' default)."""
     r3 = reports.r3_trend(wh)
-    return pivot(r3, ["mes_numero", "mes_nombre"], "tipo_operacion", OPERATIONS, "fob_total", agg="mean")
+    return pivot(r3, ["mes_numero", "mes_nombre"], "tipo_operacion", operations(wh), "fob_total", agg="mean")
 
 
 def chart_office_stack(wh, k: int = 15) -> DataFrame:
@@ -41,16 +41,18 @@ def chart_office_stack(wh, k: int = 15) -> DataFrame:
     r4 = reports.r4_offices(wh).select(F.col("nombre_aduana").alias("aduana"), "tipo_operacion", "fob_anual")
     totals = r4.groupBy("aduana").agg(F.sum("fob_anual").alias("_total"))
     top = top_k(totals, k, [F.col("_total").desc(), F.col("aduana").asc()]).select("aduana")
-    m = pivot(r4.join(F.broadcast(top), "aduana", "left_semi"), ["aduana"], "tipo_operacion", OPERATIONS,
+    ops = operations(wh)
+    m = pivot(r4.join(F.broadcast(top), "aduana", "left_semi"), ["aduana"], "tipo_operacion", ops,
               "fob_anual", agg="sum", fill=0.0)
-    return m.orderBy(F.desc(sum(F.col(c) for c in OPERATIONS)), "aduana")
+    return m.orderBy(F.desc(sum(F.col(f"`{c}`") for c in ops)), "aduana")
 
 
 def chart_position_matrix(wh) -> DataFrame:
     """Top tariff positions (R5 rows) x operation, FOB summed, missing -> 0."""
     r5 = reports.r5_top_positions(wh)
-    m = pivot(r5, ["posicion"], "tipo_operacion", OPERATIONS, "fob_total", agg="sum", fill=0.0)
-    return m.orderBy(*[F.desc(c) for c in OPERATIONS])
+    ops = operations(wh)
+    m = pivot(r5, ["posicion"], "tipo_operacion", ops, "fob_total", agg="sum", fill=0.0)
+    return m.orderBy(*[F.col(f"`{c}`").desc() for c in ops])
 
 
 def chart_channel_matrix(wh) -> DataFrame:

@@ -74,7 +74,8 @@ def staging_rejects(raw: DataFrame, cutoff: str = DEFAULT_CUTOFF) -> DataFrame:
 
     Columns: rows_in, bad_date (unparseable), before_cutoff, fob_not_positive
     (unparseable, zero or negative, among rows that pass the date test),
-    money_out_of_range (kept rows whose FOB does not fit DECIMAL(18,2)), rows_out.
+    money_out_of_range (kept rows with a number that does not fit DECIMAL(18,2)
+    in any money column), rows_out.
     """
     d = parse_date(F.col("OFICIALIZACION"))
     fob = parse_decimal(F.col("`FOB DOLAR`"))
@@ -85,7 +86,25 @@ def staging_rejects(raw: DataFrame, cutoff: str = DEFAULT_CUTOFF) -> DataFrame:
         F.count_if(d.isNull()).alias("bad_date"),
         F.count_if(d < F.lit(cutoff).cast("date")).alias("before_cutoff"),
         F.count_if(F.coalesce(date_ok, F.lit(False)) & ~F.coalesce(fob_ok, F.lit(False))).alias("fob_not_positive"),
-        F.count_if(F.coalesce(date_ok & fob_ok, F.lit(False)) & parse_money(F.col("`FOB DOLAR`")).isNull())
+        F.count_if(F.coalesce(date_ok & fob_ok, F.lit(False)) & _any([
+            parse_decimal(F.col(f"`{src}`")).isNotNull() & parse_money(F.col(f"`{src}`")).isNull()
+            for _, src, kind in STAGING_SOURCES if kind in ("money", "qty")]))
         .alias("money_out_of_range"),
         F.count_if(F.coalesce(date_ok & fob_ok, F.lit(False))).alias("rows_out"),
     )
+
+
+def _any(conditions: list[Column]) -> Column:
+    return F.exists(F.array(*conditions), lambda x: x)
+
+
+def typed_rejects(raw: DataFrame, cutoff: str = DEFAULT_CUTOFF) -> DataFrame:
+    """Values that typing turned into NULL, per typed column, over the rows that
+    reach staging: ``column_name, rejected``, in one aggregate pass."""
+    typed = [(tgt, src, kind) for tgt, src, kind in STAGING_SOURCES if kind in ("money", "qty", "int", "date")]
+    kept = raw.where((parse_date(F.col("OFICIALIZACION")) >= F.lit(cutoff).cast("date"))
+                     & (parse_decimal(F.col("`FOB DOLAR`")) > 0))
+    counts = kept.agg(*[
+        F.count_if(F.col(f"`{src}`").isNotNull() & _typed(src, kind, False).isNull()).alias(tgt) for tgt, src, kind in typed])
+    pairs = ", ".join(f"'{tgt}', `{tgt}`" for tgt, _, _ in typed)
+    return counts.selectExpr(f"stack({len(typed)}, {pairs}) AS (column_name, rejected)")

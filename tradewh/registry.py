@@ -9,7 +9,7 @@ from tradewh.functions.text import normalize_country, repair_enye
 from tradewh.plans import dims as dims_mod
 from tradewh.plans import marts as marts_mod
 from tradewh.plans import charts, exports, quality, reports, views
-from tradewh.plans.staging import build_staging, staging_rejects
+from tradewh.plans.staging import build_staging, staging_rejects, typed_rejects
 from tradewh.plans.warehouse import FIXTURE_CUTOFF, fixture_warehouse, to_output
 from tradewh.schemas import STAGING_SOURCES
 
@@ -37,6 +37,10 @@ def staging_rejects_q(spark, sf_dir) -> DataFrame:
     return staging_rejects(_wh(spark, sf_dir).bronze, cutoff=FIXTURE_CUTOFF)
 
 
+def staging_typed_rejects(spark, sf_dir) -> DataFrame:
+    return typed_rejects(_wh(spark, sf_dir).bronze, cutoff=FIXTURE_CUTOFF)
+
+
 def staging_legacy_qty(spark, sf_dir) -> DataFrame:
     stg = build_staging(_wh(spark, sf_dir).bronze, cutoff=FIXTURE_CUTOFF, legacy=True)
     return to_output(stg.select("despacho_cifrado", "item", "cantidad_subitem"))
@@ -59,6 +63,11 @@ def _mart(name):
     return lambda spark, sf_dir: to_output(_wh(spark, sf_dir).mart(name))
 
 
+def _legacy_mart(name):
+    """The mart of a load that keeps the source system's quirks throughout."""
+    return lambda spark, sf_dir: to_output(fixture_warehouse(spark, sf_dir, legacy=True).mart(name))
+
+
 def _view(fn):
     return lambda spark, sf_dir: to_output(fn(_wh(spark, sf_dir)))
 
@@ -71,11 +80,13 @@ QUERIES = {
     "staging_typed": staging_typed,
     "staging_country": staging_country,
     "staging_rejects": staging_rejects_q,
+    "staging_typed_rejects": staging_typed_rejects,
     "staging_legacy_qty": staging_legacy_qty,
-    **{name: _dim(name) for name in dims_mod.BUILDERS},
+    **{name: _dim(name) for name in dims_mod.NAMES},
     "dim_fecha_legacy_quarter": dim_fecha_legacy_quarter,
     "fact_items": fact_items,
-    **{name: _mart(name) for name in marts_mod.BUILDERS},
+    **{name: _mart(name) for name in marts_mod.KEY_GRAINS},
+    **{f"{name}_legacy": _legacy_mart(name) for name in ("agg_fob_pais_anual", "agg_fob_ncm_anual")},
     **{name: _view(fn) for name, fn in views.VIEWS.items()},
     "r1_yoy": _report(reports.r1_yoy),
     "r2_top_countries": _report(reports.r2_top_countries),

@@ -5,7 +5,9 @@ One lineitem row is one declaration item. The extract is built with joins only
 grows with the fixture tables. Dirty values are planted on purpose so that every
 clean-up step has work to do: bad dates, decimal commas, ISO prefixes, corrupt
 'Ñ', double spaces, mixed case, NULL keys, unknown channel codes, FOB = 0,
-integer text with '.0', quantities with a comma.
+integer text with '.0', quantities with a comma, dates with '/', with a time and
+with junk behind them, non-breaking blanks, sub-cent prices, numbers out of range,
+a third kind of operation, NULL operations, offices and positions.
 
 Join strategy: lineitem ⋈ orders is the only large-large join (sort-merge on
 the order key). customer/supplier/part are left to AQE, which broadcasts them at
@@ -77,15 +79,22 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     cols = {
         "DESPACHO CIFRADO": F.concat(F.lit("d"), ok.cast("string")),
-        "OPERACION": F.when(F.col("l_linestatus") == "F", F.lit(" importacion ")).otherwise(F.lit("Exportacion")),
-        "DESTINACION": F.lit(" consumo "),
+        "OPERACION": F.when(ok % 107 == 0, F.lit(None).cast("string"))
+        .when(ok % 103 == 0, F.lit("tránsito"))
+        .when(F.col("l_linestatus") == "F", F.lit(" importacion ")).otherwise(F.lit("Exportacion")),
+        "DESTINACION": F.lit("\u00a0consumo "),
         "REGIMEN": F.when(F.col("o_orderkey") % 53 == 0, F.lit(None).cast("string"))
         .otherwise(F.lower(F.col("o_orderpriority"))),
-        "OFICIALIZACION": F.when(ok % 211 == 0, F.lit("S/D")).otherwise(ship_date.cast("string")),
+        "OFICIALIZACION": F.when(ok % 211 == 0, F.lit("S/D"))
+        .when(ok % 223 == 0, F.concat(ship_date.cast("string"), F.lit(" aprox.")))
+        .when(ok % 229 == 0, F.concat(ship_date.cast("string"), F.lit("T")))
+        .when(ok % 13 == 0, F.translate(ship_date.cast("string"), "-", "/"))
+        .when(ok % 17 == 0, F.concat(ship_date.cast("string"), F.lit(" 10:15:00")))
+        .otherwise(ship_date.cast("string")),
         "CANCELACION": F.col("o_orderdate").cast("date").cast("string"),
         "AÑO": F.concat(F.year(ship_date).cast("string"), F.when(ok % 7 == 0, F.lit(".0")).otherwise(F.lit(""))),
         "MES": F.month(ship_date).cast("string"),
-        "ADUANA": F.lower(F.col("s_name")),
+        "ADUANA": F.when(F.col("l_suppkey") % 47 == 0, F.lit(None).cast("string")).otherwise(F.lower(F.col("s_name"))),
         "COTIZACION": F.lit("7300,5"),
         "MEDIO TRANSPORTE": F.lit(" terrestre"),
         "CANAL": F.when(ok % 97 == 0, F.lit(None).cast("string"))
@@ -108,7 +117,7 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         "IMPONIBLE GS": F.lit(None).cast("string"),
         "AJUSTE A INCLUIR": zero,
         "AJUSTE A DEDUCIR": zero,
-        "POSICION": F.concat(F.lower(F.col("p_brand")), F.lit("."), F.lower(F.col("p_type"))),
+        "POSICION": F.when(F.col("l_partkey") % 59 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lower(F.col("p_brand")), F.lit("."), F.lower(F.col("p_type")))),
         "RUBRO": F.col("p_type"),
         "DESC CAPITULO": F.col("p_brand"),
         "DESC PARTIDA": F.concat(F.col("p_brand"), F.lit(" "), F.col("p_size").cast("string")),
@@ -118,12 +127,12 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ACUERDO": F.lit(None).cast("string"),
         "NUMERO SUBITEM": F.col("l_linenumber").cast("string"),
         "CANTIDAD SUBITEM": F.when(ok % 10 == 0, _comma(qty)).otherwise(qty.cast("string")),
-        "PRECION UNITARIO SUBITEM": _comma(_money(F.col("p_retailprice"))),
+        "PRECION UNITARIO SUBITEM": F.concat(_comma(_money(F.col("p_retailprice"))), F.when(ok % 3 == 0, F.lit("5")).otherwise(F.lit(""))),
         "DESC SUBITEM": F.lit(None).cast("string"),
         "MARCA SUBITEM": F.lit(None).cast("string"),
         "DERECHO": _comma(derecho),
         "ISC": _comma(isc),
-        "SERVICIO": zero,
+        "SERVICIO": F.when(ok % 227 == 0, F.lit("1e20")).otherwise(zero),
         "RENTA": zero,
         "IVA": _comma(iva),
         "OTROS": zero,

@@ -18,9 +18,14 @@ class LandingNotFound(FileNotFoundError):
 
 
 def read_landing_csv(spark: SparkSession, glob: str, sep: str = ",",
-                     encoding: str = "UTF-8", schema=RAW_SCHEMA, escape: str = '"') -> DataFrame:
+                     encoding: str = "UTF-8", schema=RAW_SCHEMA, escape: str = '"',
+                     multi_line: bool = True) -> DataFrame:
     """All CSV files of the landing zone as one relation.
 
+    Quoted fields may hold line breaks. A file can then not be split (one task
+    reads it whole, as a stream), so land many files rather than a huge one, or
+    pass ``multi_line=False`` when no field holds a line break.
+
     ``enforceSchema=False`` makes Spark check each file's header against the
     schema, so a file with renamed or reordered columns fails loudly instead
     of shifting values into the wrong columns.
@@ -32,11 +37,14 @@ def read_landing_csv(spark: SparkSession, glob: str, sep: str = ",",
             .option("sep", sep)
             .option("encoding", encoding)
             .option("escape", escape)
+            .option("multiLine", multi_line)
             .option("mode", "FAILFAST")
             .schema(schema)
             .csv(glob)
         )
-    except AnalysisException as exc:  # PATH_NOT_FOUND
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise LandingNotFound(f"landing files not found: {glob}") from exc
 
 

@@ -40,7 +40,7 @@ def _export(spark: SparkSession, tables: dict[str, DataFrame], root: str,
             rows = spark.read.parquet(path).count()
             out.append((layer, name, rows, None))
         except Exception as exc:  # noqa: BLE001 - reported per table, like the reference
-            out.append((layer, name, None, f"{type(exc).__name__}: {exc}"[:500]))
+            out.append((layer, name, None, f"{type(exc).__name__}: {exc}"))
     return out
 
 
