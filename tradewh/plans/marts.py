@@ -1,8 +1,9 @@
 """Materialised aggregates M1-M5 (schema ``analytic`` of the reference).
 
-Each mart: star join (broadcast) -> partial aggregation in the scan tasks ->
-one shuffle on the group keys -> final aggregation -> window functions over the
-aggregated rows only (shares and ranks), partitioned by year and operation.
+Fact scan -> date attributes -> GROUPING SETS with partial aggregation in the
+scan tasks -> one shuffle -> a written table of groups; each mart reads its
+grouping set from there (M1 and M3 roll M5's up), attaches names, and runs its
+window functions (shares and ranks) over the aggregated rows only.
 Money stays DECIMAL (exact, order-independent sums); averages and shares are
 DOUBLE rounded half away from zero.
 
@@ -29,68 +30,8 @@ def _count() -> Column:
     return F.count(F.lit(1))
 
 
-def agg_fob_mensual_operacion(wh) -> tuple[DataFrame, list[str]]:
-    keys = ["anio", "mes_numero", "mes_nombre", "trimestre", "semestre", "tipo_operacion"]
-    df = star(wh, ["dim_fecha", "dim_operacion"]).groupBy(*keys).agg(
-        _count().alias("cantidad_items"),
-        sum_money("fob_dolar").alias("fob_total"),
-        sum_money("kilo_neto").alias("kilo_neto_total"),
-        sum_money("flete_dolar").alias("flete_total"),
-        sum_money("seguro_dolar").alias("seguro_total"),
-        sum_money("derecho").alias("derecho_total"),
-        sum_money("isc").alias("isc_total"),
-        sum_money("iva").alias("iva_total"),
-        sum_money("total_gravamen").alias("gravamen_total"),
-        avg_money("fob_dolar").alias("fob_promedio"),
-        F.min("fob_dolar").alias("fob_minimo"),
-        F.max("fob_dolar").alias("fob_maximo"),
-    )
-    return df, ["anio", "mes_numero", "tipo_operacion"]
-
-
-def agg_fob_pais_anual(wh) -> tuple[DataFrame, list[str]]:
-    keys = ["anio", "trimestre", "tipo_operacion", "pais_origen_desc", "pais_destino_desc"]
-    df = star(wh, ["dim_fecha", "dim_operacion", "dim_pais_origen", "dim_pais_destino"]).groupBy(*keys).agg(
-        _count().alias("cantidad_items"),
-        sum_money("fob_dolar").alias("fob_total"),
-        sum_money("kilo_neto").alias("kilo_neto_total"),
-        avg_money("fob_dolar").alias("fob_promedio"),
-    )
-    df = with_share(df, "fob_total", ["anio", "tipo_operacion"], "pct_fob_sobre_total", 4)
-    return df, ["anio", "tipo_operacion"]
-
-
-def agg_fob_aduana_mensual(wh) -> tuple[DataFrame, list[str]]:
-    keys = ["anio", "mes_numero", "mes_nombre", "trimestre", "tipo_operacion", "nombre_aduana"]
-    df = star(wh, ["dim_fecha", "dim_aduana", "dim_operacion"]).groupBy(*keys).agg(
-        _count().alias("cantidad_items"),
-        sum_money("fob_dolar").alias("fob_total"),
-        sum_money("kilo_neto").alias("kilo_neto_total"),
-        avg_money("fob_dolar").alias("fob_promedio"),
-        sum_money("total_gravamen").alias("gravamen_total"),
-    )
-    part = ["anio", "mes_numero", "tipo_operacion"]
-    df = with_rank(df, "fob_total", part, "rank_fob_mes")
-    df = with_share(df, "fob_total", part, "pct_fob", 2)
-    return df, ["anio", "mes_numero", "tipo_operacion"]
-
-
-def agg_fob_ncm_anual(wh) -> tuple[DataFrame, list[str]]:
-    keys = ["anio", "trimestre", "tipo_operacion", "rubro", "capitulo", "posicion", "descripcion_arancelaria"]
-    df = star(wh, ["dim_fecha", "dim_producto", "dim_operacion"]).groupBy(*keys).agg(
-        _count().alias("cantidad_items"),
-        sum_money("fob_dolar").alias("fob_total"),
-        sum_money("kilo_neto").alias("kilo_neto_total"),
-        avg_money("fob_dolar").alias("fob_promedio"),
-    )
-    part = ["anio", "tipo_operacion"]
-    df = with_rank(df, "fob_total", part, "rank_fob")
-    df = with_share(df, "fob_total", part, "pct_fob", 4)
-    return df, ["anio", "tipo_operacion"]
-
-
-def canal_grouped(wh, with_avg: bool) -> DataFrame:
-    """Shared body of M5 and V6: fact rows with a channel, by month/office/channel."""
+def canal_grouped(wh) -> DataFrame:
+    """Body of V6: fact rows with a channel, by month/office/channel."""
     keys = ["anio", "mes_numero", "mes_nombre", "trimestre", "tipo_operacion", "nombre_aduana"]
     fact = wh.fact.where(F.col("canal").isNotNull())
     aggs = [
@@ -98,8 +39,6 @@ def canal_grouped(wh, with_avg: bool) -> DataFrame:
         sum_money("fob_dolar").alias("fob_total"),
         sum_money("total_gravamen").alias("gravamen_total"),
     ]
-    if with_avg:
-        aggs.append(avg_money("fob_dolar").alias("fob_promedio"))
     df = star(wh, ["dim_fecha", "dim_operacion", "dim_aduana"], fact=fact).groupBy(
         *keys, F.col("canal").alias("canal_codigo"), decode_canal("canal").alias("canal_nombre")
     ).agg(*aggs)
@@ -107,27 +46,6 @@ def canal_grouped(wh, with_avg: bool) -> DataFrame:
                       "pct_canal", 2)
 
 
-def agg_canal_mensual(wh) -> tuple[DataFrame, list[str]]:
-    return canal_grouped(wh, with_avg=True), ["anio", "mes_numero", "nombre_aduana", "canal_codigo"]
-
-
-BUILDERS = {
-    "agg_fob_mensual_operacion": agg_fob_mensual_operacion,
-    "agg_fob_pais_anual": agg_fob_pais_anual,
-    "agg_fob_aduana_mensual": agg_fob_aduana_mensual,
-    "agg_fob_ncm_anual": agg_fob_ncm_anual,
-    "agg_canal_mensual": agg_canal_mensual,
-}
-
-GRAINS = {
-    "agg_fob_mensual_operacion": "anio + mes + operacion",
-    "agg_fob_pais_anual": "anio + trimestre + pais + operacion",
-    "agg_fob_aduana_mensual": "anio + mes + aduana + operacion",
-    "agg_fob_ncm_anual": "anio + trimestre + ncm + operacion",
-    "agg_canal_mensual": "anio + mes + aduana + canal",
-}
-
-
 # -- all five marts from one scan of the fact ---------------------------------
 
 GRAIN_KEYS = {
@@ -139,6 +57,8 @@ GRAIN_KEYS = {
     "agg_canal_mensual": ["anio", "mes_numero", "mes_nombre", "trimestre", "tipo_operacion", "nombre_aduana",
                           "canal_codigo", "canal_nombre"],
 }
+#: Each mart's grain in words: its key columns.
+GRAINS = {name: " + ".join(keys) for name, keys in GRAIN_KEYS.items()}
 SORT_KEYS = {
     "agg_fob_mensual_operacion": ["anio", "mes_numero", "tipo_operacion"],
     "agg_fob_pais_anual": ["anio", "tipo_operacion"],
@@ -164,6 +84,20 @@ KEY_GRAINS = {
     "agg_fob_ncm_anual": ["anio", "trimestre", "operacion_key", "producto_key"],
     "agg_canal_mensual": ["anio", "mes_numero", "trimestre", "operacion_key", "aduana_key", "canal"],
 }
+# The grouping sets that the fact is aggregated by. The first is M5's grain with
+# rows of NULL office and channel kept; M1 and M3 are coarser and roll it up.
+SETS = {
+    "canal": ["anio", "mes_numero", "trimestre", "semestre", "operacion_key", "aduana_key", "canal"],
+    "pais": KEY_GRAINS["agg_fob_pais_anual"],
+    "ncm": KEY_GRAINS["agg_fob_ncm_anual"],
+}
+SET_OF = {
+    "agg_fob_mensual_operacion": "canal",
+    "agg_fob_pais_anual": "pais",
+    "agg_fob_aduana_mensual": "canal",
+    "agg_fob_ncm_anual": "ncm",
+    "agg_canal_mensual": "canal",
+}
 # Dimensions joined back onto each mart's aggregated rows (inner joins).
 ATTACH = {
     "agg_fob_mensual_operacion": ["dim_operacion", "month"],
@@ -174,33 +108,21 @@ ATTACH = {
 }
 
 
-def build_marts(wh) -> dict[str, DataFrame]:
-    """M1-M5 with ONE scan of the fact (eager aggregation + GROUPING SETS).
-
-    1. fact ⋈ dim_fecha (broadcast; integer calendar attributes only);
-    2. GROUPING SETS over the integer keys of the five grains — the Expand
-       feeds partial aggregation in the scan tasks, so a single shuffle
-       carries the partial aggregates of all five marts;
-    3. the aggregated rows are written once as a table (lineage cut);
-    4. per mart: its grouping set, rows with its keys present, then inner
-       joins of the (small, broadcast) dimensions onto the *aggregated* rows
-       to attach the descriptive attributes, then ranks and shares.
+def mart_groups(wh) -> DataFrame:
+    """The fact grouped by the three sets of ``SETS``, in ONE scan of it.
 
-    Same rows as each mart's own star join + GROUP BY: an inner join drops
-    exactly the fact rows whose key is NULL or unknown, and here those rows
-    only form groups that step 4 drops.
+    fact ⋈ dim_fecha (integer calendar attributes only), then GROUPING SETS over
+    integer keys: the Expand feeds partial aggregation in the scan tasks, so a
+    single shuffle carries the partial aggregates of all five marts. ``grain``
+    names the set. Counts, sums, minima and maxima all roll up.
     """
     fecha = wh.dim("dim_fecha").select("fecha_key", "anio", "mes_numero", "trimestre", "semestre")
-    from tradewh.operators.joins import broadcast_if_small
-
-    base = wh.fact.join(broadcast_if_small(fecha, known_rows=wh.rows("dim_fecha")), "fecha_key")
-    names = list(KEY_GRAINS)
+    base = wh.fact.join(fecha, "fecha_key")
     cols: list[str] = []
-    for n in names:
-        cols += [c for c in KEY_GRAINS[n] if c not in cols]
-    gid = {n: sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in KEY_GRAINS[n]) for n in names}
-
-    agg = base.groupingSets([KEY_GRAINS[n] for n in names], *cols).agg(
+    for keys in SETS.values():
+        cols += [c for c in keys if c not in cols]
+    gid = {n: sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in keys) for n, keys in SETS.items()}
+    agg = base.groupingSets(list(SETS.values()), *cols).agg(
         F.grouping_id().alias("_gid"),
         _count().alias("_count"),
         *[sum_money(src).alias(out) for out, src in _SUMS.items()],
@@ -208,8 +130,33 @@ def build_marts(wh) -> dict[str, DataFrame]:
         F.min("fob_dolar").alias("fob_minimo"),
         F.max("fob_dolar").alias("fob_maximo"),
     )
+    name = F.create_map(*[x for n, g in gid.items() for x in (F.lit(g).cast("long"), F.lit(n))])
+    return agg.withColumn("grain", name[F.col("_gid").cast("long")]).drop("_gid")
+
+
+def _rolled_up(groups: DataFrame, keys: list[str]) -> DataFrame:
+    return groups.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in ("_count", "_n_fob")],
+        *[F.sum(c).cast("decimal(38,2)").alias(c) for c in _SUMS],
+        F.min("fob_minimo").alias("fob_minimo"),
+        F.max("fob_maximo").alias("fob_maximo"),
+    )
+
+
+def build_marts(wh) -> dict[str, DataFrame]:
+    """M1-M5 from the written table of groups (``analytic/mart_groups``).
+
+    Per mart: its grain's rows with its keys present (M1 and M3 rolled up), then
+    inner joins of the dimensions onto the *aggregated* rows to attach the
+    descriptive attributes, then ranks and shares.
+
+    Same rows as each mart's own star join + GROUP BY: an inner join drops
+    exactly the fact rows whose key is NULL or unknown, and here those rows
+    only form groups that the filter drops.
+    """
+    # Stored by grain, so a mart reads its own set only.
     path = wh.path("analytic/mart_groups")
-    agg.write.mode("overwrite").parquet(path)
+    mart_groups(wh).write.mode("overwrite").partitionBy("grain").parquet(path)
     agg = wh.spark.read.parquet(path)
 
     months = wh.dim("dim_fecha").select("mes_numero", "mes_nombre").distinct()
@@ -225,15 +172,16 @@ def build_marts(wh) -> dict[str, DataFrame]:
                 "dim_producto": "producto_key", "month": "mes_numero"}
 
     def part(n: str) -> DataFrame:
-        cond = F.col("_gid") == gid[n]
+        m = agg.where(F.col("grain") == SET_OF[n])
         for c in KEY_GRAINS[n]:
-            cond = cond & F.col(c).isNotNull()
-        m = agg.where(cond)
+            m = m.where(F.col(c).isNotNull())
+        if KEY_GRAINS[n] != SETS[SET_OF[n]]:
+            m = _rolled_up(m, KEY_GRAINS[n])
         for d in ATTACH[n]:
             if d == "month":
                 m = m.join(F.broadcast(months), "mes_numero")
             else:
-                m = m.join(broadcast_if_small(lookups[d], known_rows=wh.rows(d)), join_key[d])
+                m = m.join(lookups[d], join_key[d])
         if "canal" in KEY_GRAINS[n]:
             m = m.withColumn("canal_codigo", F.col("canal")).withColumn("canal_nombre", decode_canal("canal"))
         return m.withColumn("fob_promedio", round_half_away(safe_div(F.col("fob_total"), F.col("_n_fob")), 2))

@@ -12,18 +12,7 @@ from tradewh.plans.star import star
 
 
 def v_fob_por_operacion(wh) -> DataFrame:
-    """V1: the monthly mart's grain and rows (same joins, same grouping), so
-    the view is a projection of the materialised mart, not a fact re-scan."""
-    return wh.mart("agg_fob_mensual_operacion").select(
-        "anio", "mes_numero", "mes_nombre", "trimestre", "semestre", "tipo_operacion",
-        "cantidad_items", "fob_total", "kilo_neto_total", "flete_total", "seguro_total",
-        "gravamen_total", "fob_promedio",
-    )
-
-
-def v_fob_por_operacion_from_fact(wh) -> DataFrame:
-    """V1 computed straight from the fact (kept for checks and for use before
-    the marts exist)."""
+    """V1: monthly totals by operation."""
     keys = ["anio", "mes_numero", "mes_nombre", "trimestre", "semestre", "tipo_operacion"]
     return star(wh, ["dim_fecha", "dim_operacion"]).groupBy(*keys).agg(
         _count().alias("cantidad_items"),
@@ -40,37 +29,31 @@ def v_top_paises(wh) -> DataFrame:
     """V2: origin and destination halves, each with its own share.
 
     One scan of the fact: GROUPING SETS over (year, quarter, operation key,
-    origin key) and (…, destination key); country names and operation are
-    joined onto the aggregated rows (inner joins, so NULL or unknown keys drop
-    out as in a star join), then each half gets its share and the halves are
-    stacked.
+    origin key) and (…, destination key). Both halves stay one frame: the kind
+    of country comes from the grouping set, names from one join to the two
+    country dimensions stacked with their kind, and the share's window is
+    partitioned by the kind as well. Inner joins, so NULL or unknown keys drop
+    out as in a star join.
     """
-    from tradewh.operators.joins import broadcast_if_small
-
-    fecha = wh.dim("dim_fecha").select("fecha_key", "anio", "trimestre")
-    base = wh.fact.join(broadcast_if_small(fecha, known_rows=wh.rows("dim_fecha")), "fecha_key")
-    sets = [["anio", "trimestre", "operacion_key", "pais_origen_key"],
-            ["anio", "trimestre", "operacion_key", "pais_destino_key"]]
+    base = wh.fact.join(wh.dim("dim_fecha").select("fecha_key", "anio", "trimestre"), "fecha_key")
     cols = ["anio", "trimestre", "operacion_key", "pais_origen_key", "pais_destino_key"]
-    agg = base.groupingSets(sets, *cols).agg(
-        F.grouping_id().alias("_gid"),
+    agg = base.groupingSets([cols[:4], cols[:3] + cols[4:]], *cols).agg(
+        (F.grouping("pais_origen_key") == 0).alias("_origin"),
         _count().alias("cantidad_items"),
         sum_money("fob_dolar").alias("fob_total"),
         sum_money("kilo_neto").alias("kilo_neto_total"),
     )
-    op = broadcast_if_small(wh.dim("dim_operacion"), known_rows=wh.rows("dim_operacion"))
-    halves = []
-    for key, dim, name_col, kind, gid in (
-        ("pais_origen_key", "dim_pais_origen", "pais_origen_desc", "ORIGEN", 0b00001),
-        ("pais_destino_key", "dim_pais_destino", "pais_desc_desc", "DESTINO", 0b00010),
-    ):
-        names = broadcast_if_small(wh.dim(dim).select(key, F.col(name_col).alias("pais")), known_rows=wh.rows(dim))
-        h = (agg.where((F.col("_gid") == gid) & F.col(key).isNotNull() & F.col("operacion_key").isNotNull())
-             .join(op, "operacion_key").join(names, key))
-        h = with_share(h, "fob_total", ["anio", "tipo_operacion"], "pct_fob", 2)
-        halves.append(h.select("anio", "trimestre", "tipo_operacion", "pais", F.lit(kind).alias("tipo_pais"),
-                               "cantidad_items", "fob_total", "kilo_neto_total", "pct_fob"))
-    return halves[0].unionByName(halves[1])
+    agg = agg.withColumn("_country", F.when(F.col("_origin"), F.col("pais_origen_key")).otherwise(F.col("pais_destino_key")))
+    names = wh.dim("dim_pais_origen").select(
+        F.lit(True).alias("_origin"), F.lit("ORIGEN").alias("tipo_pais"), F.col("pais_origen_key").alias("_country"),
+        F.col("pais_origen_desc").alias("pais"))
+    names = names.unionByName(wh.dim("dim_pais_destino").select(
+        F.lit(False).alias("_origin"), F.lit("DESTINO").alias("tipo_pais"), F.col("pais_destino_key").alias("_country"),
+        F.col("pais_desc_desc").alias("pais")))
+    df = agg.join(wh.dim("dim_operacion"), "operacion_key").join(names, ["_origin", "_country"])
+    df = with_share(df, "fob_total", ["anio", "tipo_operacion", "tipo_pais"], "pct_fob", 2)
+    return df.select("anio", "trimestre", "tipo_operacion", "pais", "tipo_pais",
+                     "cantidad_items", "fob_total", "kilo_neto_total", "pct_fob")
 
 
 def v_tendencia_mensual(wh) -> DataFrame:
@@ -113,13 +96,8 @@ def v_top_ncm(wh) -> DataFrame:
 
 
 def v_canal_control(wh) -> DataFrame:
-    """V6: the channel mart's rows without its average column (same joins,
-    filter, grouping and shares), read from the materialised mart."""
-    return wh.mart("agg_canal_mensual").drop("fob_promedio")
-
-
-def v_canal_control_from_fact(wh) -> DataFrame:
-    return canal_grouped(wh, with_avg=False)
+    """V6: channel mix by month and office."""
+    return canal_grouped(wh)
 
 
 VIEWS = {
