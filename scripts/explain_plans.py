@@ -30,13 +30,14 @@ if __name__ == "__main__":
     spark = build_session()
     from tradewh.plans import marts, quality, reports, staging, views
     from tradewh.plans.fact import build_fact
-    from tradewh.plans.warehouse import fixture_warehouse
+    from tradewh.plans.warehouse import STAGING, fixture_warehouse
 
     wh = fixture_warehouse(spark, sf)
     plans = {
         "staging (L2)": staging.build_staging(wh.bronze, cutoff="1996-01-01"),
-        "fact load (L3, without ids)": build_fact(wh.staging, wh.dims, dim_rows=wh.dim_rows, with_id=False),
-        "single mart M4 (star join + aggregate + windows)": marts.agg_fob_ncm_anual(wh)[0],
+        "fact load (L3, ids and lookups)": build_fact(wh.table(STAGING), wh.dims),
+        "mart groups M1-M5 (one fact scan, three grouping sets)": marts.mart_groups(wh),
+        "Q8 mart and view counts (from written marts)": quality.mart_counts(wh),
         "R2 top countries (latest year, top-k, rank of k rows)": reports.r2_top_countries(wh),
         "R7 red share (fact, one GROUP BY)": reports.r7_red_share(wh),
         "Q6 FK check (one fact scan)": quality.fk_check(wh),
