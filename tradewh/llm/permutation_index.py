@@ -108,8 +108,11 @@ def nearest(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
     if dims is None:
         return table.sparkSession.createDataFrame([], ranked)
     rows = rows.where(F.size("v") == dims["d"])
-    # n_pivots vectors at most, whatever the table holds.
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(n_pivots).collect()
+    # n_pivots vectors at most, whatever the table holds: those of the smallest
+    # hashes, looked for among some four times as many.
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 32))
+    likely = place <= int((1 << 32) * min(1.0, 4 * n_pivots / dims["n"]))
+    sample = rows.where(likely).orderBy(place, "id").limit(n_pivots).collect()
     pivots = np.array([r["v"] for r in sample], np.float64)
     prefix = min(prefix, len(pivots))
     shards = -(-dims["n"] // shard)

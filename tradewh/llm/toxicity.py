@@ -205,9 +205,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, f
     """The model, fitted on a bounded sample of the labelled documents."""
     labels = pick(labels, doc_id="long", toxic="int").dropna().groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     docs = pick(docs, doc_id="long", text="string").where(F.length("text") <= fit_chars)
+    labels = labels.withColumn("toxic", (F.col("toxic") != 0).cast("int"))
+    sizes = {r["toxic"]: r["count"] for r in labels.groupBy("toxic").count().collect()}
     ids = None
     for y in (0, 1):
-        some = labels.where((F.col("toxic") != 0) == bool(y)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_docs)
+        # Those of the smallest hashes, looked for among some twice as many.
+        place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32))
+        some = labels.where((F.col("toxic") == y) & (place <= int((1 << 32) * min(1.0, 2 * fit_docs / max(1, sizes.get(y, 0))))))
+        some = some.orderBy(place, "doc_id").limit(fit_docs)
         ids = some if ids is None else ids.unionByName(some)
     # At most 2 x fit_docs rows of two numbers, so the broadcast is bounded.
     sample = docs.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
