@@ -14,12 +14,13 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """``df`` in at least ``min_partitions`` (default: the cluster's cores) tasks.
+
+    Looks at scans and narrow steps only: behind a shuffle AQE sizes the
+    partitions itself, and counting them would run that shuffle.
+    """
     spark = df.sparkSession
-    try:
-        target = min_partitions or spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without an RDD view (Spark Connect): leave as is
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
         return df
-    if splits < target:
-        return df.repartition(target)
-    return df
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
