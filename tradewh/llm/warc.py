@@ -2,7 +2,8 @@
 
 Writing: one request, one response (or revisit) and one metadata record per
 page, tied together by WARC-Concurrent-To, in gzip-per-record parts that tasks
-stream to the shared folder. Of pages with equal payloads of ``REVISIT_BYTES``
+stream to the shared folder. Records are compressed where the pages are read,
+so what is shuffled is no more than what is written. Of pages with equal payloads of ``REVISIT_BYTES``
 bytes and more, that with the largest page_id is a response, the others are
 revisits that refer to it; equality is found by SHA-1 and length, in an
 aggregate with map-side combination, so a payload that a third of all pages
@@ -55,15 +56,17 @@ def record(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return z.compress("\r\n".join(lines).encode() + block + b"\r\n\r\n") + z.flush()
 
 
-def capture(page_id: int | None, url: str | None, payload: bytes, digest: str, copy: int, refers: tuple | None) -> bytes:
-    """Request, response or revisit, and metadata of one page; ``refers`` is the
-    (page_id, digest) of the response that a revisit repeats."""
+def capture(page_id: int | None, url: str | None, payload: bytes | None, n: int, digest: str, copy: int = 0,
+            refers: tuple | None = None) -> bytes:
+    """Request, response or revisit, and metadata of one page with a payload of
+    ``n`` bytes; ``refers`` is the (page_id, digest) of the response that a
+    revisit, which needs no payload, repeats."""
     uri = " ".join((url or "").split())
     host, _, path = uri.partition("://")[2].partition("/")
     role = "revisit" if refers else "response"
     head = record_id(role, page_id, digest, copy)
     b32 = base64.b32encode(bytes.fromhex(digest)).decode()
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {n}\r\n\r\n".encode()
     common = [("WARC-Date", _DATE), ("WARC-Target-URI", uri)]
     main = [("WARC-Type", role), ("WARC-Record-ID", head), *common, ("WARC-Payload-Digest", f"sha1:{b32}"),
             ("Content-Type", "application/http; msgtype=response")]
@@ -132,19 +135,31 @@ class _Inflate(io.RawIOBase):
 # -- writing -----------------------------------------------------------------
 
 def plan(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
-    """page_id, url, payload, digest and, for pages of a repeated payload, the
-    page_id of its response (``is_copy`` tells a null one from none)."""
-    rows = pick(pages, page_id="long", url="string", html="string").select(
+    """page_id, url, digest, n (bytes of payload), the capture as a response, and
+    for pages of a repeated payload the page_id of its response (``is_copy``
+    tells a null one from none)."""
+    pages = pick(pages, page_id="long", url="string", html="string").select(
         "page_id", "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
-    rows = rows.withColumn("digest", F.sha1("payload"))
-    slim = rows.where(F.octet_length("payload") >= revisit_bytes).select("page_id", "digest", F.octet_length("payload").alias("n"))
+    pages = pages.select("page_id", "url", F.sha1("payload").alias("digest"), F.octet_length("payload").alias("n"), "payload")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "payload", "n", "digest")))
+            done = pa.array([capture(*row) for row in rows], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "url", "digest", "n")), done],
+                                             ["page_id", "url", "digest", "n", "capture"])
+
+    # One text for page and payload, so that the rows are shuffled once: the join
+    # below and the writer find the rows of one page and payload together.
+    key = F.concat(F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit("/"), F.col("digest")).alias("key")
+    rows = pages.mapInArrow(run, "page_id long, url string, digest string, n int, capture binary").select("*", key).repartition("key")
+    slim = pages.where(F.col("n") >= revisit_bytes).select("page_id", "digest", "n")
     # One row per task and payload leaves the map side, however often it occurs.
     tops = slim.groupBy("digest", "n").agg(F.max("page_id").alias("top"), F.count(F.lit(1)).alias("copies"))
     tops = tops.where("copies > 1").select("digest", "n", "top")
-    copies = slim.join(tops, ["digest", "n"]).groupBy("page_id", "digest").agg(F.max("top").alias("top"))
-    copies = copies.select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), "top", F.lit(True).alias("is_copy"))
-    return rows.join(copies, rows["page_id"].eqNullSafe(copies["_page"]) & (rows["digest"] == copies["_digest"]), "left").select(
-        "page_id", "url", "payload", "digest", "top", F.coalesce("is_copy", F.lit(False)).alias("is_copy"))
+    copies = slim.join(tops, ["digest", "n"]).groupBy(key).agg(F.max("top").alias("top")).withColumn("is_copy", F.lit(True))
+    return rows.join(copies, "key", "left").select(
+        "page_id", "url", "digest", "n", "capture", "top", F.coalesce("is_copy", F.lit(False)).alias("is_copy"))
 
 
 def write(pages: DataFrame, folder: str | None = None, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
@@ -156,7 +171,7 @@ def write(pages: DataFrame, folder: str | None = None, revisit_bytes: int = REVI
         name, out, n = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:12]}.warc.gz", None, 0
         now, copy = None, 0
         for batch in batches:
-            for page_id, url, payload, digest, top, is_copy in zip(*(c.to_pylist() for c in batch.columns)):
+            for page_id, url, digest, size, done, top, is_copy in zip(*(c.to_pylist() for c in batch.columns)):
                 if out is None:
                     fs, path = store(folder)
                     fs.create_dir(path, recursive=True)
@@ -165,15 +180,20 @@ def write(pages: DataFrame, folder: str | None = None, revisit_bytes: int = REVI
                                       ("WARC-Date", _DATE), ("Content-Type", "application/warc-fields")], b"format: WARC file version 1.1\r\n"))
                 copy = copy + 1 if (page_id, digest) == now else 0
                 now = (page_id, digest)
-                refers = (top, digest) if is_copy and (page_id != top or copy) else None
-                out.write(capture(page_id, url, payload, digest, copy, refers))
+                if is_copy and (page_id != top or copy):
+                    done = capture(page_id, url, None, size, digest, copy, (top, digest))
+                elif copy:  # a page's row again: the same capture with identifiers of its own
+                    payload = next(b for h, b in records(io.BytesIO(done)) if h["warc-type"] == "response").partition(b"\r\n\r\n")[2]
+                    done = capture(page_id, url, payload, size, digest, copy)
+                out.write(done)
                 n += 1
         if out:
             out.close()
             yield pa.RecordBatch.from_pydict({"folder": [folder], "name": [name], "captures": pa.array([n], pa.int64())})
 
-    # Rows of one page and payload lie together, so that repeats of it are told apart.
-    rows = plan(pages, revisit_bytes).repartition("page_id", "digest").sortWithinPartitions("page_id", "digest", "url")
+    # Rows of one page and payload lie together and follow each other here, so
+    # that repeats of it are told apart.
+    rows = plan(pages, revisit_bytes).sortWithinPartitions("page_id", "digest", "url")
     return materialize(rows.mapInArrow(run, "folder string, name string, captures long"), "warc-parts")
 
 
@@ -242,6 +262,9 @@ def page_digest(captures: DataFrame) -> DataFrame:
         "capture_id", F.expr("cast(regexp_extract(metadata.fields, '(?m)^page-id: (-?[0-9]+)', 1) as string)").alias("page"),
         F.col("head.type").alias("record_type"), F.col("head.payload_bytes").alias("n"), F.col("head.digest").alias("payload_digest"),
         F.col("head.refers_to").alias("refers")).withColumn("page_id", F.nullif("page", F.lit("")).cast("long"))
+    # From a table both sides of the join are shuffled by what is referred to, and
+    # AQE splits the revisits of a response that a third of all pages repeat.
+    rows = materialize(rows, "warc-captures")
     whole = rows.where("record_type = 'response'").select(F.col("capture_id").alias("refers"), F.col("page_id").alias("refers_to"),
                                                           F.col("n").alias("full"))
     return rows.join(whole, "refers", "left").select(
