@@ -31,6 +31,7 @@ training tokens the model is the vocabulary's own order.
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import repeat
@@ -59,12 +60,71 @@ def words_of(text: str | None) -> list[bytes]:
 
 # -- lattices ----------------------------------------------------------------
 
+class PieceTrie:
+    """All pieces made of ``CHARS`` characters (Latin-1, and the most used
+    others), as a table (node, character) -> node, so that the words of a batch
+    walk in step.
+
+    Node 0 is the root, the last one a dead end.
+    """
+
+    CHARS = 250
+
+    def __init__(self, v: Vocabulary):
+        counts = Counter(c for p in v.ids for c in p)
+        used = sorted(counts, key=lambda c: (ord(c) > 255, -counts[c], c))[:self.CHARS]
+        self.cls = np.zeros(0x110000, np.uint8)  # 0: any other character
+        for k, c in enumerate(used, 1):
+            self.cls[ord(c)] = k
+        self.other = re.compile(f"[^{re.escape(''.join(used))}]").search
+        own = [(p, i) for p, i in v.ids.items() if all(self.cls[ord(c)] for c in p)]
+        steps: dict[tuple[int, int], int] = {}
+        ends: list[int] = [-1]
+        for piece, i in own:
+            node = 0
+            for c in piece:
+                key = (node, int(self.cls[ord(c)]))
+                if key not in steps:
+                    steps[key] = len(ends)
+                    ends.append(-1)
+                node = steps[key]
+            ends[node] = i
+        self.dead, self.width = len(ends), self.CHARS + 1
+        self.piece = np.array(ends + [-1], np.int32)
+        self.step = np.full((self.dead + 1) * self.width, self.dead, np.int32)
+        for (node, c), to in steps.items():
+            self.step[node * self.width + c] = to
+
+
+_TRIES: dict[int, PieceTrie] = {}
+
+
+def _trie(v: Vocabulary) -> PieceTrie:
+    if id(v) not in _TRIES:
+        _TRIES[id(v)] = PieceTrie(v)
+    return _TRIES[id(v)]
+
+
 def _edges(words: list[str], v: Vocabulary) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(i, j, piece of characters i to j of each word, or -1) for words of one length."""
-    get = v.ids.get
-    for j in range(1, len(words[0]) + 1):
-        for i in range(max(0, j - v.longest), j):
-            yield i, j, np.fromiter(map(get, [w[i:j] for w in words], repeat(-1)), np.int32, len(words))
+    """(i, j, piece of characters i to j of each word, or -1) for words of one
+    length; spans longer than one character that no word has a piece for may be
+    left out."""
+    n, get, trie = len(words[0]), v.ids.get, _trie(v)
+    codes = np.array(words, dtype=f"U{n}").view(np.uint32).reshape(len(words), n)
+    cls = trie.cls[codes]
+    if (cls == 0).any() or (codes == 0).any():  # rare characters: look pieces up one by one
+        for j in range(1, n + 1):
+            for i in range(max(0, j - v.longest), j):
+                yield i, j, np.fromiter(map(get, [w[i:j] for w in words], repeat(-1)), np.int32, len(words))
+        return
+    cls = np.ascontiguousarray(cls.T).astype(np.int64)
+    for i in range(n):
+        node = np.zeros(len(words), np.int64)
+        for j in range(i + 1, min(n, i + v.longest) + 1):
+            node = trie.step[node * trie.width + cls[j - 1]].astype(np.int64)
+            yield i, j, trie.piece[node]
+            if (node == trie.dead).all():
+                break
 
 
 def _spelling(words: list[str], j: int, unknown: np.ndarray, v: Vocabulary, lp: np.ndarray) -> np.ndarray:
@@ -79,43 +139,59 @@ def lattice(words: list[str], v: Vocabulary, lp: np.ndarray, weights: np.ndarray
     """Log probabilities of words of one length; with weights, also the expected
     times each piece occurs in them. ``lp`` ends with -inf for "no piece"."""
     n, size = len(words[0]), len(words)
-    fwd = np.full((n + 1, size), -np.inf)
-    fwd[0] = 0.0
     into: list[list[tuple[int, np.ndarray, np.ndarray]]] = [[] for _ in range(n + 1)]
+    out_of: list[list[tuple[int, np.ndarray]]] = [[] for _ in range(n + 1)]
     for i, j, ids in _edges(words, v):
+        missing = ids < 0
+        if i < j - 1 and missing.all():
+            continue
         s = lp[ids]
-        if i == j - 1 and (ids < 0).any():
-            s = np.where(ids < 0, _spelling(words, j, ids < 0, v, lp), s)
-        if np.isfinite(s).any():
-            fwd[j] = np.logaddexp(fwd[j], fwd[i] + s)
-            into[j].append((i, ids, s))
+        if i == j - 1 and missing.any():
+            s = np.where(missing, _spelling(words, j, missing, v, lp), s)
+        into[j].append((i, ids, s))
+        out_of[i].append((j, s))
+    fwd, bwd = np.zeros((n + 1, size)), np.zeros((n + 1, size))
+    for j in range(1, n + 1):
+        fwd[j] = _log_sum([fwd[i] + s for i, _, s in into[j]])
     if weights is None:
         return fwd[n], None
-    bwd = np.full((n + 1, size), -np.inf)
-    bwd[n] = 0.0
-    expected = np.zeros(len(lp))
-    for j in range(n, 0, -1):
+    for i in range(n - 1, -1, -1):
+        bwd[i] = _log_sum([bwd[j] + s for j, s in out_of[i]])
+    all_ids, all_post, spelt = [], [], Counter()
+    for j in range(1, n + 1):
+        ahead = bwd[j] - fwd[n]
         for i, ids, s in into[j]:
-            bwd[i] = np.logaddexp(bwd[i], bwd[j] + s)
-            post = np.exp(fwd[i] + s + bwd[j] - fwd[n]) * weights
-            expected += np.bincount(np.where(ids < 0, len(lp) - 1, ids), post, len(lp))
+            post = np.exp(fwd[i] + s + ahead) * weights
+            all_ids.append(ids)
+            all_post.append(post)
             if i == j - 1:
                 for k in np.flatnonzero((ids < 0) & (post > 0)).tolist():
                     for b in words[k][j - 1].encode("utf-8", "surrogatepass"):
-                        expected[v.bytes_[b]] += post[k]
-    expected[-1] = 0.0
+                        spelt[v.bytes_[b]] += post[k]
+    # "No piece" is -1, one before the first: shifted to 0 and left out.
+    expected = np.append(np.bincount(np.concatenate(all_ids) + 1, np.concatenate(all_post), len(lp))[1:], 0.0)
+    for piece, times in spelt.items():
+        expected[piece] += times
     return fwd[n], expected
 
 
+def _log_sum(rows: list[np.ndarray]) -> np.ndarray:
+    """log of the sum of exp of each column; every column has a finite row."""
+    m = np.stack(rows)
+    top = m.max(0)
+    return top + np.log(np.exp(m - top).sum(0))
+
+
 def word_logp(words: list[str], v: Vocabulary, lp: np.ndarray, weights: np.ndarray | None = None, most: int = 4096,
               cells: int = 4_000_000) -> tuple[np.ndarray, np.ndarray | None]:
     """``lattice`` over words of any lengths; a group has one length and at most
     ``most`` words (fewer, if long)."""
     by_size = defaultdict(list)
-    for k, w in enumerate(words):
-        by_size[len(w)].append(k)
+    other = _trie(v).other
+    for k, w in enumerate(words):  # words of characters that the trie knows, apart from others
+        by_size[len(w), other(w) is None].append(k)
     out, expected = np.zeros(len(words)), None if weights is None else np.zeros(len(lp))
-    for n, at in by_size.items():
+    for (n, _), at in by_size.items():
         step = max(1, min(most, cells // ((n + 1) * 16)))
         for a in range(0, len(at), step):
             part = at[a:a + step]
@@ -186,6 +262,21 @@ def fit(words: DataFrame, rounds: int = ROUNDS, name: str = VOCABULARY, prior: f
 
 # -- scoring -----------------------------------------------------------------
 
+def _most_frequent(words: DataFrame, most: int) -> DataFrame:
+    """The words of the largest counts, ``most`` at most: counts are grouped by
+    their logarithm (a thousand groups or so), and all groups above a limit are
+    taken, so nothing is sorted and no task sends more than the rows it keeps."""
+    level = F.floor(F.log2("n") * 16)
+    sizes = words.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("level")).collect()
+    least, total = math.inf, 0
+    for r in sizes:
+        total += r["rows"]
+        if total > most:
+            break
+        least = r["level"]
+    return words.where(level >= F.lit(float(least)))
+
+
 def score_documents(docs: DataFrame, training: Column, rounds: int = ROUNDS, name: str = VOCABULARY, frequent: int = FREQUENT) -> DataFrame:
     """doc_id, learned, n_tokens, n_known, train_tokens, base_score, score; a row per row of ``docs``.
 
@@ -221,7 +312,7 @@ def score_documents(docs: DataFrame, training: Column, rounds: int = ROUNDS, nam
 
     rated = materialize(words.mapInArrow(rate, "word string, c long, n long, lp double"), "rated")
     # FREQUENT rows of FREQUENT_CHARS characters at most: bounded whatever the corpus holds.
-    top = rated.where(F.length("word") <= FREQUENT_CHARS).orderBy(F.desc("n"), "word").limit(frequent).toPandas()
+    top = _most_frequent(rated.where(F.length("word") <= FREQUENT_CHARS), frequent).toPandas()
     known = {w.encode("utf-8", "surrogatepass"): k for k, w in enumerate(top["word"])}
     top_c = top["c"].to_numpy(np.int64)
     often = spark.sparkContext.broadcast((known, top_c > 0, np.log10(top_c + 1.0) - low, top["lp"].to_numpy(float)))
