@@ -92,6 +92,33 @@ def test_local_search_empties_bins():
     assert better >= 0 and capacity == 10
 
 
+def test_local_search_ends_at_the_bound_or_without_an_exchange():
+    rng = random.Random(3)
+    for _ in range(60):
+        top = rng.choice([30, 60, 99])
+        lengths = [rng.randint(rng.choice([1, top // 3]), top) for _ in range(rng.randint(2, 60))]
+        last = packing.local_search(packing.best_fit(lengths, 100), lengths, 100)
+        assert sorted(i for b in last for i in b) == list(range(len(lengths)))
+        if len(last) == -(-sum(lengths) // 100):
+            continue
+        sizes = [[lengths[i] for i in b] for b in last]
+        for j, give in enumerate(sizes):
+            for k, own in enumerate(sizes):
+                if j != k and sum(give) <= sum(own) < 100:
+                    back = {0, *own, *(x + y for p, x in enumerate(own) for y in own[:p])}
+                    assert not any(0 < n - s <= 100 - sum(own) for n in give for s in back)
+
+
+def test_local_search_of_a_whole_shard():
+    rng = random.Random(1)
+    for low, high, most in [(300, 900, 1.02), (500, 1000, 1.08)]:
+        lengths = [rng.randint(low, high) for _ in range(packing.SHARD)]
+        which, offset = packing.pack_lengths(lengths)
+        fill = np.bincount(which, lengths)
+        assert fill.max() <= 2048 and offset.max() < 2048
+        assert np.count_nonzero(fill) <= most * (-(-sum(lengths) // 2048))
+
+
 # -- Arrow files -------------------------------------------------------------
 
 def brute_stream(texts):

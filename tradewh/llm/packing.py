@@ -8,8 +8,9 @@
    in falling order into the fullest bin that takes them, then swap-based local
    search over the underfull bins: a piece moves to a fuller bin, or changes
    places with a smaller one there (one for one) or with two smaller ones (two
-   for one). Each step increases the sum of squared fills; bins that run empty
-   are gone. The search ends at the lower bound or when no step is left.
+   for one), found by looking up what open bins can give back and their rooms.
+   Each step increases the sum of squared fills; bins that run empty are gone.
+   The search ends at the lower bound or when no step is left, nowhere else.
    A shard wastes less than a bin or two of some thousands, so sharding costs
    next to nothing, and shards grow in number, not in size.
 
@@ -19,7 +20,9 @@ rows and rows without doc_id are packed like any other; no rows, no sequences.
 
 from __future__ import annotations
 
+import heapq
 import zlib
+from collections import Counter, deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -92,64 +95,111 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], lengths: list[int], capacity: int, steps: int = 20_000) -> list[list[int]]:
+class _Receivers:
+    """For each sum of up to two lengths that some listed bin can give back, the
+    largest room among the bins that can: one lookup finds the best exchange."""
+
+    def __init__(self, capacity: int):
+        self.heaps: list[list[tuple[int, int, int]]] = [[] for _ in range(capacity)]
+        self.reach = np.full(capacity, -1, np.int64)  # sum given back + largest room: the longest piece taken for it
+        self.version: dict[int, int] = {}
+        self.listed: dict[int, set[int]] = {}
+
+    def add(self, b: int, room: int, own: list[int]) -> None:
+        v = self.version[b] = self.version.get(b, 0) + 1
+        counts = Counter(own)
+        several = sorted(counts)
+        sums = {0, *several, *(x + y for k, x in enumerate(several) for y in several[k + (counts[x] == 1):])}
+        self.listed[b] = sums
+        for s in sums:
+            heapq.heappush(self.heaps[s], (-room, b, v))
+            if s + room > self.reach[s]:
+                self.reach[s] = s + room
+
+    def drop(self, b: int) -> None:
+        self.version[b] += 1
+        for s in self.listed.pop(b):
+            heap = self.heaps[s]
+            while heap and self.version[heap[0][1]] != heap[0][2]:
+                heapq.heappop(heap)
+            self.reach[s] = s - heap[0][0] if heap else -1
+
+    def exchange(self, own: list[int]) -> tuple[int, int, int, int] | None:
+        """(gain, bin, length to give, sum to take back) of the largest gain for a bin of these lengths."""
+        give = np.array(sorted(set(own)), np.int64)
+        back = np.searchsorted(np.maximum.accumulate(self.reach), give)  # the smallest sum whose bin takes the piece
+        k = int(np.argmax(give - back))
+        gain, s = int(give[k] - back[k]), int(back[k])
+        return (gain, self.heaps[s][0][1], int(give[k]), s) if gain > 0 else None
+
+
+def _of_sum(own: list[int], lengths: list[int], s: int) -> list[int]:
+    """At most two of the pieces ``own`` with lengths that add up to ``s``."""
+    if not s:
+        return []
+    seen: dict[int, int] = {}
+    pair = None
+    for i in own:
+        if lengths[i] == s:
+            return [i]
+        if pair is None and s - lengths[i] in seen:
+            pair = [seen[s - lengths[i]], i]
+        seen.setdefault(lengths[i], i)
+    return pair
+
+
+def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
     """Exchange pieces between underfull bins until bins empty or no exchange helps.
 
     The emptiest bin gives: a piece of it moves to a fuller bin, or changes
-    places there with one or two pieces that are smaller together. Every step
-    makes the fuller bin fuller and the emptiest emptier, so the sum of squared
-    fills grows; ``steps`` bounds the work on a shard.
+    places there with one or two pieces that are smaller together, whichever
+    gains most. Every step makes the fuller bin fuller and the emptier emptier,
+    so the sum of squared fills grows and the search ends. A bin without an
+    exchange is set aside for the pass; a pass without any exchange is the last.
     """
     bound = -(-sum(lengths) // capacity)
     fill = [sum(lengths[i] for i in b) for b in bins]
     alive = sum(1 for f in fill if f)
-    open_bins = {b for b in range(len(bins)) if 0 < fill[b] < capacity}
-    stuck: set[int] = set()
-    while alive > bound and steps > 0 and len(open_bins) > 1:
-        givers = open_bins - stuck
-        if not givers:
-            break
-        low = min(givers, key=lambda b: (fill[b], b))
-        best = None  # (gain, bin, piece out of low, pieces into low)
-        for a in open_bins:
-            if a == low or fill[a] < fill[low]:
-                continue
-            room, own = capacity - fill[a], sorted((lengths[i], i) for i in bins[a])
-            for y in bins[low]:
-                n = lengths[y]
-                options = [(n, ())] if n <= room else []
-                options += [(n - x, (i,)) for x, i in own if 0 < n - x <= room]
-                # two for one: for each x the largest partner that leaves something to gain
-                for p, (x, i) in enumerate(own):
-                    for q in range(p + 1, len(own)):
-                        gain = n - x - own[q][0]
-                        if gain <= 0:
-                            break
-                        if gain <= room:
-                            options.append((gain, (i, own[q][1])))
-                            break
-                if options:
-                    got = max(options)
-                    if best is None or got[0] > best[0]:
-                        best = (got[0], a, y, got[1])
-            steps -= 1
-        if best is None:
-            stuck.add(low)
-            continue
-        gain, a, y, back = best
-        bins[low].remove(y)
-        bins[a].append(y)
-        for i in back:
-            bins[a].remove(i)
-            bins[low].append(i)
-        fill[a] += gain
-        fill[low] -= gain
-        stuck.clear()
-        if fill[a] == capacity:
-            open_bins.discard(a)
-        if not bins[low]:
-            open_bins.discard(low)
-            alive -= 1
+    moved = True
+    while alive > bound and moved:
+        moved = False
+        index = _Receivers(capacity)
+        list_it = lambda b: index.add(b, capacity - fill[b], [lengths[i] for i in bins[b]])
+        givers = [(fill[b], b) for b in range(len(bins)) if 0 < fill[b] < capacity]
+        heapq.heapify(givers)
+        for _, b in givers:
+            list_it(b)
+        tried: deque[tuple[int, int]] = deque()  # without an exchange, emptiest first
+        while givers and alive > bound:
+            was, low = heapq.heappop(givers)
+            if was != fill[low]:
+                continue  # has received since
+            while tried and tried[0][0] < was:  # emptier than what comes now: no receivers any more
+                before, b = tried.popleft()
+                if before == fill[b]:
+                    index.drop(b)
+            index.drop(low)
+            while bins[low]:
+                best = index.exchange([lengths[i] for i in bins[low]])
+                if best is None:
+                    break
+                moved = True
+                gain, a, n, back = best
+                index.drop(a)
+                y, taken = next(i for i in bins[low] if lengths[i] == n), _of_sum(bins[a], lengths, back)
+                bins[a] = [i for i in bins[a] if i not in taken] + [y]
+                bins[low] = [i for i in bins[low] if i != y] + taken
+                fill[a] += gain
+                fill[low] -= gain
+                if fill[a] < capacity:
+                    list_it(a)
+                    heapq.heappush(givers, (fill[a], a))
+            if bins[low]:
+                if fill[low] == was:
+                    list_it(low)  # bins as empty as it may still give to it
+                    tried.append((was, low))
+            else:
+                alive -= 1
     return [b for b in bins if b]
 
 
