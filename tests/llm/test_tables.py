@@ -189,6 +189,44 @@ def test_recall(spark, sf):
     assert recall >= 0.9
 
 
+def recall_of(spark, vectors, queries, k=20):
+    """Recall of the index on (id, vector) rows, for a set of queries."""
+    x = np.array([v for _, v in vectors])
+    ids = np.array([i for i, _ in vectors])
+    table = spark.createDataFrame([(int(i), [float(c) for c in v]) for i, v in vectors], "vec_id long, embedding array<double>")
+    got = {}
+    for r in permutation_index.nearest(table, F.col("id").isin(queries), k=k).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert set(got) == set(queries)
+    recalls = []
+    for q in queries:
+        score = x @ x[np.flatnonzero(ids == q)[0]]
+        score[ids == q] = -np.inf
+        # Of rows that tie, the smallest ids count.
+        recalls.append(len(got[q] & set(ids[np.lexsort((ids, -score))[:k]].tolist())) / k)
+    return float(np.mean(recalls))
+
+
+@pytest.mark.parametrize("noise", [0.0, 0.001, 0.01])
+def test_recall_with_a_third_of_copies(spark, noise):
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").collect()]
+    rng = np.random.default_rng(2)
+    first, one = max(i for i, _ in rows) + 1, np.array(rows[7][1], float)
+    copies = [(first + j, one + noise * rng.standard_normal(len(one))) for j in range(len(rows) // 2)]
+    others = [i for i, _ in rows[::20]]
+    assert recall_of(spark, rows + copies, others) >= 0.9
+    assert recall_of(spark, rows + copies, [i for i, _ in copies[::25]]) >= 0.9
+
+
+def test_pivots_are_apart():
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((60, 8))
+    near = x[5] + 1e-4 * rng.standard_normal((500, 8))
+    got = permutation_index.spread_out(np.vstack([near, x, 2 * x]), 50)
+    unit = got / np.linalg.norm(got, axis=1, keepdims=True)
+    assert len(got) == 50 and np.max(unit @ unit.T - 2 * np.eye(50)) < 1 - 1e-6
+
+
 def test_nearness_is_footrule():
     rng = np.random.default_rng(0)
     perm = np.array([rng.permutation(12)[:5] for _ in range(30)])

@@ -5,12 +5,16 @@ Vectors are dealt evenly into shards of about ``SHARD`` and, in each shard,
 posted in one inverted file per pivot with the pivot's place in their order. A
 query adds up, over the files of its own pivots, the footrule distance between
 the two orders (a pivot missing from one counts as last); the nearest ``share``
-of the shard by that distance, ties included, is ranked again by the inner
-product of the original vectors. Shards' best are merged by a window per query.
+of the shard by that distance is ranked again by the inner product of the
+original vectors, with all rows within ``SLACK`` of the last one's distance, so
+that near copies, whose orders differ by chance, come in together or not at all.
+Shards' best are merged by a window per query.
 
 Queries come in blocks of ``BLOCK``; a task holds one shard and one block, so
-its memory doesn't grow with either table. Pivots are a bounded sample
-(``PIVOTS`` vectors, the first in the order of a hash of their ids).
+its memory doesn't grow with either table. Pivots are ``PIVOTS`` of a bounded
+sample of distinct vectors (the first in the order of a hash of the vector),
+picked farthest first: groups of copies or near copies take no more than a
+place or two among them.
 
 Defined results: vectors that are null, zero or hold null or non-finite
 components take no part, nor do rows without an id or of another length than
@@ -29,6 +33,10 @@ from tradewh.operators.materialize import materialize
 PIVOTS = 256
 PREFIX = 64
 SHARE = 0.2
+#: Near ties, as a part of the largest nearness two orders can have.
+SLACK = 0.02
+#: Distinct vectors a pivot is picked from.
+SAMPLE = 4
 SHARD = 8192
 BLOCK = 4096
 
@@ -47,6 +55,16 @@ def orders(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
     return np.argsort(-near, axis=1, kind="stable")[:, :prefix]
 
 
+def spread_out(sample: np.ndarray, n: int) -> np.ndarray:
+    """``n`` rows at most, each the one farthest (smallest cosine) from those before; none twice by direction."""
+    unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+    taken, near = [0], unit @ unit[0]
+    while len(taken) < min(n, len(sample)) and near.min() < 1 - 1e-9:
+        taken.append(int(np.argmin(near)))
+        near = np.maximum(near, unit @ unit[taken[-1]])
+    return sample[taken]
+
+
 class InvertedFiles:
     """For each pivot the rows that have it among their nearest, and its place there."""
 
@@ -78,6 +96,7 @@ def search_shard(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries:
     ids, x = ids[order], x[order]
     files = InvertedFiles(orders(x, pivots, prefix), len(pivots))
     keep = min(len(ids), max(2 * k, int(np.ceil(share * len(ids)))))
+    slack = int(SLACK * prefix * (prefix + 1) / 2)
     out = []
     for qid, q, perm in zip(query_ids.tolist(), queries, orders(queries, pivots, prefix)):
         near = files.nearness(perm)
@@ -85,7 +104,7 @@ def search_shard(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries:
         if own < len(ids) and ids[own] == qid:
             near[own] = -1
         least = np.partition(near, len(near) - keep)[len(near) - keep]
-        some = np.flatnonzero(near >= max(least, 0))
+        some = np.flatnonzero(near >= max(least - slack, 0))
         score = x[some] @ q
         if len(some) > k:  # all that tie with the k-th stay, for the ids to decide
             best = np.flatnonzero(score >= np.partition(score, len(score) - k)[len(score) - k])
@@ -108,12 +127,13 @@ def nearest(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
     if dims is None:
         return table.sparkSession.createDataFrame([], ranked)
     rows = rows.where(F.size("v") == dims["d"])
-    # n_pivots vectors at most, whatever the table holds: those of the smallest
-    # hashes, looked for among some four times as many.
-    place = F.pmod(F.xxhash64("id"), F.lit(1 << 32))
-    likely = place <= int((1 << 32) * min(1.0, 4 * n_pivots / dims["n"]))
-    sample = rows.where(likely).orderBy(place, "id").limit(n_pivots).collect()
-    pivots = np.array([r["v"] for r in sample], np.float64)
+    # A bounded number of distinct vectors, whatever the table holds: those of
+    # the smallest hashes, looked for among some twice as many.
+    place, most = F.pmod(F.xxhash64("v"), F.lit(1 << 32)), SAMPLE * n_pivots
+    distinct = rows.agg(F.approx_count_distinct(F.xxhash64("v"))).first()[0]
+    likely = place <= int((1 << 32) * min(1.0, 2 * most / max(1, distinct)))
+    sample = rows.where(likely).select("v").distinct().orderBy(place, "v").limit(most).collect()
+    pivots = spread_out(np.array([r["v"] for r in sample], np.float64), n_pivots)
     prefix = min(prefix, len(pivots))
     shards = -(-dims["n"] // shard)
     queries = rows.where(is_query)
