@@ -218,6 +218,14 @@ def test_recall_with_a_third_of_copies(spark, noise):
     assert recall_of(spark, rows + copies, [i for i, _ in copies[::25]]) >= 0.9
 
 
+@pytest.mark.parametrize("sd", [0.5, 1.0])
+def test_recall_with_unequal_lengths(spark, sd):
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").collect()]
+    rng = np.random.default_rng(4)
+    scaled = [(i, np.array(v, float) * np.exp(sd * rng.standard_normal())) for i, v in rows]
+    assert recall_of(spark, scaled, [i for i, _ in rows[::20]]) >= 0.9
+
+
 def test_pivots_are_apart():
     rng = np.random.default_rng(3)
     x = rng.standard_normal((60, 8))
