@@ -71,6 +71,25 @@ def test_licence_templates_label_texts_and_give_spans():
     assert s.scan(licenses.words_of("the permission of the copy is hereby without files and in the software"))["spans"] == []
 
 
+def test_licences_outside_the_list_get_no_label():
+    s = licenses.Scanner()
+    label = lambda t: licenses._digest(s, t)[5]
+    for name in ["Eclipse Public License 2.0", "Mozilla Public License", "ISC License", "Artistic License", "EUPL", "terms of the agreement"]:
+        for lead in ["Licensed under the", "Released under the", "This work is licensed under the"]:
+            assert label(f"{lead} {name} and more") == "" and licenses._digest(s, f"{lead} {name}")[6] == 0
+    assert label("licensed under a Creative Commons Attribution-NonCommercial 4.0 International License") == ""
+    assert label("Licensed under the Eclipse License. See the MIT Press catalogue") == ""
+    assert label("under the terms of the GNU Library General Public License") == "gpl"
+    assert label("Released under the GNU General Public License") == "gpl"
+    for text, want in [("Licensed under the terms of the MIT License", "mit"), ("licensed under the BSD 3-clause License", "bsd"),
+                       ("licensed under the new BSD license", "bsd"),
+                       ("Licensed under the Apache License version 2", "apache-2.0"),
+                       ("Licensed under the Eclipse License. Licensed under the MIT License.", "mit"),
+                       ("licensed under the Creative Commons Attribution License", "cc-by"),
+                       ("licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa")]:
+        assert label(text) == want
+
+
 # -- quality -----------------------------------------------------------------
 
 def brute_quality(text):

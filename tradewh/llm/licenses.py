@@ -6,7 +6,12 @@ text streams through it once: at each word the automaton holds the longest
 template substring that ends there (the matching statistic). Right-maximal
 matches of ``MIN_WORDS`` and more, found at all their places in the templates,
 are chained per template (in order in both, gaps up to ``GAP`` words); a chain
-that covers enough of its template labels the text and gives a span.
+that covers enough of its template labels the text and gives a span. Templates
+under ``SHORT`` words are mostly words that any notice has, so share alone does
+not do: the words that tell one from all other labels' templates (of these the
+capitalised ones, a licence's name, if it has such) must lie in the chain; one
+that has none (``licensed under CC BY 4.0``) must stand whole, without other words
+between. In turn two words make a match there if such a name is the first.
 
 Base phrases are templates as well: a phrase stands where the state's suffix
 chain holds it, so every place counts, not only right-maximal ones.
@@ -29,6 +34,7 @@ from tradewh.llm.common import pick
 MIN_WORDS = 3
 GAP = 6
 COVERED = 0.6
+SHORT = 12
 
 # The base phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -74,6 +80,8 @@ TEMPLATES = {
 #: Bytes of a word keep their place (A-Z lowered), all others part words.
 _WORD = bytes(c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
 
+_WORD_AS_IS = bytes(c if 0x41 <= c <= 0x5A else w for c, w in enumerate(_WORD))
+
 
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_WORD).split()
@@ -158,11 +166,40 @@ class Scanner:
         self.vocab: dict[bytes, int] = {}
         ids = lambda text: [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words_of(text)]
         self.templates = [(label, ids(t)) for label, texts in templates.items() for t in texts]
+        self.names, self.proper = self._names(templates)
         self.phrases = [(label, ids(p)) for p, label in phrases.items()]
         self.auto = Automaton([t for _, t in self.templates + self.phrases])
         for k, (_, seq) in enumerate(self.phrases):
             self.auto.mark(seq, k)
 
+    def _names(self, templates: dict[str, list[str]]) -> tuple[list[frozenset[int] | None], list[frozenset[int]]]:
+        """For each template the places of the words that tell it from other labels' (None for
+        long ones), and which of them are a licence's name."""
+        texts = [t for own in templates.values() for t in own]
+        labels: dict[int, set[str]] = {}
+        for label, seq in self.templates:
+            for w in seq:
+                labels.setdefault(w, set()).add(label)
+        names, proper = [], []
+        for text, (_, seq) in zip(texts, self.templates):
+            telling = [i for i, w in enumerate(seq) if len(labels[w]) == 1]
+            # As _WORD parts them, with capitals left.
+            raw = text.encode("utf-8", "surrogatepass").translate(_WORD_AS_IS).split()
+            capital = [i for i in telling if i and raw[i][:1].isupper()]
+            names.append(frozenset(capital or telling) if len(seq) < SHORT else None)
+            proper.append(frozenset(capital if len(seq) < SHORT else ()))
+        return names, proper
+
+    def _told(self, t: int, chain: list[tuple[int, int, int]]) -> bool:
+        """Whether a chain (first match first) has what tells a short template from others."""
+        names, size = self.names[t], len(self.templates[t][1])
+        if names is None:
+            return True
+        covered = {q for _, p, n in chain for q in range(p, p + n)}
+        if names:
+            return names <= covered
+        return len(covered) == size == chain[-1][0] + chain[-1][2] - chain[0][0]
+
     def scan(self, words: list[bytes]) -> dict:
         ids = np.fromiter(map(self.vocab.get, words, repeat(0)), np.int64, len(words))
         known = ids > 0
@@ -191,9 +228,10 @@ class Scanner:
         self._match(state, n, at + len(ids), found)
 
     def _match(self, state: int, n: int, end: int, found: dict) -> None:
-        if n >= self.min_words:
+        if n >= min(2, self.min_words):
             for t, e in self.auto.ends[state]:
-                if t < len(self.templates):
+                # A pair of words counts where it begins with a licence's name ("new BSD License").
+                if t < len(self.templates) and (n >= self.min_words or e - n in self.proper[t]):
                     found.setdefault(t, []).append((end - n, e - n, n))
 
     def _chain(self, t: int, matches: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, str, float]]:
@@ -228,7 +266,7 @@ class Scanner:
             while i >= 0 and not used[i]:
                 chain.append(i)
                 i = back[i]
-            if i < 0:
+            if i < 0 and self._told(t, [matches[k] for k in reversed(chain)]):
                 for k in chain:
                     used[k] = True
                 yield matches[chain[-1]][0], matches[j][0] + matches[j][2], label, min(1.0, best[j] / len(seq))
