@@ -90,6 +90,13 @@ def test_licences_outside_the_list_get_no_label():
         assert label(text) == want
 
 
+def test_phrases_of_one_word():
+    s = licenses.Scanner(phrases={"gplv3": "gpl", "all rights reserved": "reserved"})
+    got = licenses._digest(s, "Code is GPLv3 here, gplv3 gplv3; all rights reserved gplv3")
+    assert got[1:5] == (5, 2, 9, "gpl,reserved")
+    assert licenses._digest(s, "gplv3")[1:5] == (1, 0, 0, "gpl") and licenses._digest(s, "none here")[1] == 0
+
+
 # -- quality -----------------------------------------------------------------
 
 def brute_quality(text):

@@ -168,6 +168,7 @@ class Scanner:
         self.templates = [(label, ids(t)) for label, texts in templates.items() for t in texts]
         self.names, self.proper = self._names(templates)
         self.phrases = [(label, ids(p)) for p, label in phrases.items()]
+        self.least = min([min_words, *(len(p) for _, p in self.phrases)])
         self.auto = Automaton([t for _, t in self.templates + self.phrases])
         for k, (_, seq) in enumerate(self.phrases):
             self.auto.mark(seq, k)
@@ -203,14 +204,14 @@ class Scanner:
     def scan(self, words: list[bytes]) -> dict:
         ids = np.fromiter(map(self.vocab.get, words, repeat(0)), np.int64, len(words))
         known = ids > 0
-        # Only runs of two known words and more can hold a phrase or a match.
-        pair = np.flatnonzero(known[:-1] & known[1:])
+        # Only runs of two known words and more can hold a match or a phrase, but for phrases (or matches) of one word.
+        pair = np.flatnonzero(known[:-1] & known[1:] if self.least > 1 else known)
         base: list[tuple[int, int]] = []
         found: dict[int, list[tuple[int, int, int]]] = {}
         if len(pair):
             cuts = np.flatnonzero(np.diff(pair) > 1)
             for a, b in zip(pair[np.r_[0, cuts + 1]].tolist(), pair[np.r_[cuts, len(pair) - 1]].tolist()):
-                self._run(ids[a:b + 2].tolist(), a, base, found)
+                self._run(ids[a:b + (2 if self.least > 1 else 1)].tolist(), a, base, found)
         spans = [s for t, matches in found.items() for s in self._chain(t, matches)]
         return {"base": base, "spans": sorted(spans)}
 
