@@ -343,6 +343,12 @@ def test_near_dedup_of_edges(spark, docs, no_docs):
     assert simhash.keep_one(no_docs).count() == 0
 
 
+def test_keep_one_of_unlike_texts_with_one_id(spark):
+    one, two = "the cat sat on the mat and looked at the bird in the tree", "prices rose by a tenth last year while wages stood still"
+    rows = spark.createDataFrame([(1, one), (1, two), (2, one), (3, two)], "doc_id long, text string")
+    assert sorted(tuple(r) for r in simhash.keep_one(rows).collect()) == sorted([(1, one), (1, two)])
+
+
 @pytest.mark.parametrize("tree", [4096, 40, 7])
 def test_links_of_dense_groups(spark, tree):
     """Hot blocks and chains; small trees force the second deal and the shards."""

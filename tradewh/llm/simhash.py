@@ -216,24 +216,24 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, tree: int = TREE) -> DataFrame:
-    """doc_id, text_hash, fp and component_id, one row per row of ``docs``."""
+    """doc_id, text_hash, fp, component_id (the smallest doc_id) and root (the component
+    itself: its smallest fingerprint), one row per row of ``docs``."""
     rows = materialize(fingerprints(docs, shingle), "fps")
     # Copies meet here: one row per distinct fingerprint goes on.
     distinct = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fp-distinct")
     roots = components(links(distinct.select("fp"), radius, tree))
     named = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = named.join(ids, "root").select("fp", "component_id")
-    return rows.join(by_fp, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    by_fp = named.join(ids, "root").select("fp", "component_id", "root")
+    return rows.join(by_fp, "fp").select("doc_id", "text_hash", "fp", "component_id", "root")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row of ``docs`` for each component: that of the smallest doc_id (of
     repeated rows any one; without ids, that of the smallest text hash)."""
     found = materialize(near_duplicates(docs, shingle, radius), "near")
-    # A component without any id is told by its fingerprints' own copies alone.
-    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp").cast("string")))
-    first = found.groupBy(group.alias("g")).agg(
+    # By the component itself: two of them can have the same smallest id, or none.
+    first = found.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "text_hash")).alias("s"))
     stays = first.select(F.col("s.doc_id").alias("_stay_id"), F.col("s.text_hash").alias("_stay_hash")).distinct()
     per_key = found.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
