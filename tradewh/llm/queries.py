@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradewh.llm import (arrow_files, conversations, lattice_lm, licenses, packing, permutation_index, pieces, quality, simhash,
-                         toxicity, warc)
+                         spelling, toxicity, warc)
 from tradewh.llm.common import in_fold, table
 from tradewh.operators.materialize import materialize
 
@@ -57,6 +57,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(conversations.damage(table(spark, sf_dir, "conversations")))
 
@@ -72,6 +76,7 @@ QUERIES = {
     "op8_lattice_lm": op8_lattice_lm,
     "op9_warc": op9_warc,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
