@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewh.llm import (arrow_files, conversations, lattice_lm, licenses, packing, permutation_index, pieces, quality, simhash,
-                         spelling, toxicity, warc)
+from tradewh.llm import (arrow_files, conversations, lattice_lm, licenses, packing, permutation_index, personal, pieces, quality,
+                         simhash, spelling, toxicity, warc)
 from tradewh.llm.common import in_fold, table
 from tradewh.operators.materialize import materialize
 
@@ -61,6 +61,11 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return personal.digest(personal.find_personal(docs, personal.fit_personal(docs)))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(conversations.damage(table(spark, sf_dir, "conversations")))
 
@@ -77,6 +82,7 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_personal_data": op12_personal_data,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
