@@ -536,7 +536,10 @@ def digest(found: DataFrame) -> DataFrame:
     def shown(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
+    def of_kind(kind):
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}") for k in KINDS]
+    counts = [of_kind(kind) for kind in KINDS]
     return found.select("doc_id", *counts, F.sha2(shown(base), 256).alias("base_sha256"), shown(F.col("spans")).alias("spans"),
                         F.size(F.filter("spans", lambda s: ~s["base"])).cast("long").alias("n_added"))
