@@ -59,8 +59,8 @@ def test_views_follow_the_fact(spark, wh):
 
     class Reloaded(type(wh)):
         @property
-        def fact(self):
-            return super().fact.where("canal = 'V'")
+        def fact_by_year(self):
+            return super().fact_by_year.where("canal = 'V'")
 
     half = Reloaded(spark, wh.root)
     assert views.v_canal_control(half).select("canal_codigo").distinct().collect()[0][0] == "V"

@@ -33,7 +33,7 @@ def _count() -> Column:
 def canal_grouped(wh) -> DataFrame:
     """Body of V6: fact rows with a channel, by month/office/channel."""
     keys = ["anio", "mes_numero", "mes_nombre", "trimestre", "tipo_operacion", "nombre_aduana"]
-    fact = wh.fact.where(F.col("canal").isNotNull())
+    fact = wh.fact_by_year.where(F.col("canal").isNotNull())
     aggs = [
         _count().alias("cantidad_despachos"),
         sum_money("fob_dolar").alias("fob_total"),

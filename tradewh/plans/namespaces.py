@@ -1,14 +1,18 @@
-"""Namespaces ``dw`` and ``analytic`` of the catalog, with named tables.
+"""Namespaces ``dw`` and ``analytic`` of the catalog, with named tables, views
+and functions (S10, S11).
 
 The tables are external: they name the folders of one snapshot, so dropping
-them drops no data, and registering another snapshot re-points them.
+them drops no data, and registering another snapshot re-points them. Views and
+functions are text in the catalog and follow the tables.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from tradewh.functions.catalog import register_functions
 from tradewh.plans import marts
+from tradewh.plans.view_sql import register_catalog_views
 from tradewh.plans.warehouse import DIM_NAMES, FACT, STAGING, Warehouse
 
 
@@ -18,7 +22,8 @@ def ensure_schemas(spark: SparkSession) -> None:
 
 
 def register_tables(spark: SparkSession, wh: Warehouse, with_marts: bool = True) -> list[str]:
-    """Name the snapshot's tables: ``dw.*``, and ``analytic.*`` for the marts."""
+    """Name the snapshot's tables: ``dw.*``, and ``analytic.*`` for the marts; with
+    them the SQL functions of ``dw`` and the six views of ``analytic``."""
     ensure_schemas(spark)
     names = {f"dw.{n}": wh.path(n) for n in [STAGING, *DIM_NAMES, FACT]}
     if with_marts:
@@ -30,4 +35,4 @@ def register_tables(spark: SparkSession, wh: Warehouse, with_marts: bool = True)
         spark.catalog.createTable(name, path=path, source="parquet")
         if name == f"dw.{FACT}":
             spark.catalog.recoverPartitions(name)
-    return list(names)
+    return [*names, *register_functions(spark), *register_catalog_views(spark)]

@@ -10,6 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+# The fact's partition column: the year of the date key.
+FACT_PARTITION = "fecha_anio"
+
 # dimension -> (key, attributes brought into the star; (name, alias) renames)
 DIM_ATTRS = {
     "dim_fecha": ("fecha_key", ["anio", "mes_numero", "mes_nombre", "trimestre", "semestre"]),
@@ -23,10 +26,19 @@ DIM_ATTRS = {
 
 
 def star(wh, dims: list[str], fact: DataFrame | None = None, how: str = "inner") -> DataFrame:
-    f = fact if fact is not None else wh.fact
+    """The fact joined with the named dimensions.
+
+    The date dimension is joined by its key and by the fact's partition column
+    (the year, which the key determines): a filter on the year reaches the scan
+    as a partition filter, one on other date attributes as a dynamic one.
+    """
+    f = fact if fact is not None else wh.fact_by_year
     for name in dims:
         key, attrs = DIM_ATTRS[name]
         cols = [F.col(a[0]).alias(a[1]) if isinstance(a, tuple) else F.col(a) for a in attrs]
         d = wh.dim(name).select(F.col(key).alias(f"_{key}"), *cols)
-        f = f.join(d, f[key] == d[f"_{key}"], how).drop(f"_{key}")
-    return f
+        on = f[key] == d[f"_{key}"]
+        if name == "dim_fecha" and FACT_PARTITION in f.columns:
+            on = on & (f[FACT_PARTITION] == d["anio"])
+        f = f.join(d, on, how).drop(f"_{key}")
+    return f.drop(FACT_PARTITION)

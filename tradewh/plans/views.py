@@ -1,5 +1,6 @@
-"""Logical views V1-V6: lazy DataFrames over the fact (never materialised),
-optionally registered as temp views for SQL users (S10)."""
+"""Logical views V1-V6: lazy DataFrames over the fact (never materialised), for
+SQL users as temp views (``register_views``) or, over the named tables, as
+persistent views of the catalog (``view_sql``) (S10)."""
 
 from __future__ import annotations
 
@@ -28,22 +29,21 @@ def v_fob_por_operacion(wh) -> DataFrame:
 def v_top_paises(wh) -> DataFrame:
     """V2: origin and destination halves, each with its own share.
 
-    One scan of the fact: GROUPING SETS over (year, quarter, operation key,
-    origin key) and (…, destination key). Both halves stay one frame: the kind
-    of country comes from the grouping set, names from one join to the two
-    country dimensions stacked with their kind, and the share's window is
-    partitioned by the kind as well. Inner joins, so NULL or unknown keys drop
-    out as in a star join.
+    One scan of the fact: each row gives its origin and its destination key, and
+    both halves stay one frame, told apart by the kind of country. Names come from
+    one join to the two country dimensions stacked with their kind, and the share's
+    window is partitioned by the kind as well. Inner joins, so NULL or unknown keys
+    drop out as in a star join. (Grouping sets would do the same, but no filter on
+    the year gets through their Expand to the scan.)
     """
-    base = wh.fact.join(wh.dim("dim_fecha").select("fecha_key", "anio", "trimestre"), "fecha_key")
-    cols = ["anio", "trimestre", "operacion_key", "pais_origen_key", "pais_destino_key"]
-    agg = base.groupingSets([cols[:4], cols[:3] + cols[4:]], *cols).agg(
-        (F.grouping("pais_origen_key") == 0).alias("_origin"),
+    halves = F.inline(F.array(*[F.struct(F.lit(o).alias("_origin"), F.col(k).alias("_country"))
+                                for o, k in ((True, "pais_origen_key"), (False, "pais_destino_key"))]))
+    base = star(wh, ["dim_fecha"]).select("anio", "trimestre", "operacion_key", "fob_dolar", "kilo_neto", halves)
+    agg = base.groupBy("anio", "trimestre", "operacion_key", "_origin", "_country").agg(
         _count().alias("cantidad_items"),
         sum_money("fob_dolar").alias("fob_total"),
         sum_money("kilo_neto").alias("kilo_neto_total"),
     )
-    agg = agg.withColumn("_country", F.when(F.col("_origin"), F.col("pais_origen_key")).otherwise(F.col("pais_destino_key")))
     names = wh.dim("dim_pais_origen").select(
         F.lit(True).alias("_origin"), F.lit("ORIGEN").alias("tipo_pais"), F.col("pais_origen_key").alias("_country"),
         F.col("pais_origen_desc").alias("pais"))

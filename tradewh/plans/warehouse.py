@@ -24,6 +24,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tradewh.operators.parallelism import spread
 from tradewh.plans import dims as dims_mod
 from tradewh.plans.fact import ROW_TAG, build_fact
+# The fact is stored partitioned by officialisation year (derived from the
+# date key), so queries on recent years list and read only their partitions.
+from tradewh.plans.star import FACT_PARTITION
 from tradewh.plans.staging import build_staging
 from tradewh.operators.materialize import scratch
 from tradewh.schemas import DIM_SCHEMAS, FACT_SCHEMA, STAGING_SCHEMA, conform
@@ -33,9 +36,6 @@ from tradewh.sources.sinks import write_parquet
 
 DIM_NAMES = dims_mod.NAMES
 FACT = "fact_aduana_item"
-# The fact is stored partitioned by officialisation year (derived from the
-# date key), so queries on recent years list and read only their partitions.
-FACT_PARTITION = "fecha_anio"
 STAGING = "stg_aduana"
 
 
@@ -63,15 +63,20 @@ class Warehouse:
     def staging(self) -> DataFrame:
         return self.table(STAGING).drop(ROW_TAG)
 
+    @property
+    def fact_by_year(self) -> DataFrame:
+        """The fact as stored, with its partition column."""
+        return self.table(FACT)
+
     @property
     def fact(self) -> DataFrame:
         """The fact with the source layout (partition column hidden)."""
-        return self.table(FACT).drop(FACT_PARTITION)
+        return self.fact_by_year.drop(FACT_PARTITION)
 
     def fact_in_year(self, year) -> DataFrame:
         """Fact rows of one year (a value or a scalar-subquery Column); the
         filter is on the partition column, so only that year is read."""
-        return self.table(FACT).where(F.col(FACT_PARTITION) == year).drop(FACT_PARTITION)
+        return self.fact_by_year.where(F.col(FACT_PARTITION) == year).drop(FACT_PARTITION)
 
     def dim(self, name: str) -> DataFrame:
         return self.table(name)

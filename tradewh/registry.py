@@ -8,7 +8,7 @@ from tradewh import oracle
 from tradewh.functions.text import normalize_country, repair_enye
 from tradewh.plans import dims as dims_mod
 from tradewh.plans import marts as marts_mod
-from tradewh.plans import charts, exports, quality, reports, views
+from tradewh.plans import charts, exports, namespaces, quality, reports, view_sql, views
 from tradewh.plans.staging import build_staging, staging_rejects, typed_rejects
 from tradewh.plans.warehouse import FIXTURE_CUTOFF, fixture_warehouse, to_output
 from tradewh.schemas import STAGING_SOURCES
@@ -72,6 +72,31 @@ def _view(fn):
     return lambda spark, sf_dir: to_output(fn(_wh(spark, sf_dir)))
 
 
+def _catalog_view(name):
+    """The persistent view of the catalog, by its schema name."""
+    def query(spark, sf_dir) -> DataFrame:
+        namespaces.register_tables(spark, _wh(spark, sf_dir), with_marts=False)
+        return to_output(spark.sql(f"SELECT * FROM analytic.{name}"))
+
+    return query
+
+
+def sql_normalizar_pais(spark, sf_dir) -> DataFrame:
+    wh = _wh(spark, sf_dir)
+    namespaces.register_tables(spark, wh, with_marts=False)
+    return spark.sql(r"""
+        SELECT raw_value, dw.normalizar_pais(replace(raw_value, r'\', 'Ñ')) AS clean_value,
+               dw.normalizar_pais(replace(raw_value, r'\', 'Ñ'), solo_primero => true) AS clean_value_legacy, rows
+        FROM (SELECT `PAIS ORIGEN` AS raw_value, COUNT(*) AS rows FROM {bronze} GROUP BY 1)""", bronze=wh.bronze)
+
+
+def sql_decode_canal(spark, sf_dir) -> DataFrame:
+    namespaces.register_tables(spark, _wh(spark, sf_dir), with_marts=False)
+    return spark.sql("""
+        SELECT canal, dw.decode_canal(canal) AS canal_nombre, COUNT(*) AS rows, dw.norm_text(concat(' ', lower(canal), ' ')) AS otra_vez
+        FROM dw.fact_aduana_item GROUP BY canal""")
+
+
 def _report(fn):
     return lambda spark, sf_dir: to_output(fn(_wh(spark, sf_dir)))
 
@@ -88,6 +113,9 @@ QUERIES = {
     **{name: _mart(name) for name in marts_mod.KEY_GRAINS},
     **{f"{name}_legacy": _legacy_mart(name) for name in ("agg_fob_pais_anual", "agg_fob_ncm_anual")},
     **{name: _view(fn) for name, fn in views.VIEWS.items()},
+    **{f"sql_{name}": _catalog_view(name) for name in view_sql.VIEW_SQL},
+    "sql_normalizar_pais": sql_normalizar_pais,
+    "sql_decode_canal": sql_decode_canal,
     "r1_yoy": _report(reports.r1_yoy),
     "r2_top_countries": _report(reports.r2_top_countries),
     "r3_trend": _report(reports.r3_trend),
