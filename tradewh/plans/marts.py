@@ -143,8 +143,8 @@ def _rolled_up(groups: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def build_marts(wh) -> dict[str, DataFrame]:
-    """M1-M5 from the written table of groups (``analytic/mart_groups``).
+def build_marts(wh, folder: str) -> dict[str, DataFrame]:
+    """M1-M5 from the table of groups, which is written to ``folder`` first.
 
     Per mart: its grain's rows with its keys present (M1 and M3 rolled up), then
     inner joins of the dimensions onto the *aggregated* rows to attach the
@@ -155,7 +155,7 @@ def build_marts(wh) -> dict[str, DataFrame]:
     only form groups that the filter drops.
     """
     # Stored by grain, so a mart reads its own set only.
-    path = wh.path("analytic/mart_groups")
+    path = f"{folder}/mart_groups"
     mart_groups(wh).write.mode("overwrite").partitionBy("grain").parquet(path)
     agg = wh.spark.read.parquet(path)
 

@@ -28,8 +28,7 @@ def register_tables(spark: SparkSession, wh: Warehouse, with_marts: bool = True)
     names = {f"dw.{n}": wh.path(n) for n in [STAGING, *DIM_NAMES, FACT]}
     if with_marts:
         for n in marts.KEY_GRAINS:
-            wh.mart(n)  # written on first use
-            names[f"analytic.{n}"] = wh.path(f"analytic/{n}")
+            names[f"analytic.{n}"] = wh.mart_path(n)  # written on first use
     for name, path in names.items():
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         spark.catalog.createTable(name, path=path, source="parquet")

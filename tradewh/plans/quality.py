@@ -102,32 +102,16 @@ def channel_totals_mart(wh) -> DataFrame:
 
 
 def mart_counts(wh) -> DataFrame:
-    """Q8: rows per mart and per view, with the mart's grain.
+    """Q8: rows per mart (with its grain) and per view.
 
-    The views' rows are counted from the written marts and groups, not by
-    running six views over the fact: V1 and V3 have M1's groups, V5 has M4's,
-    V6 has M5's, V4 has M3's without the month, V2 the country groups by origin
-    and by destination.
+    Views are counted themselves, so a wrong view shows; of a view nothing but its
+    keys is left to compute (sums, ranks and shares don't change the row count).
     """
-    def count(df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("rows"))
-
-    monthly = wh.mart("agg_fob_mensual_operacion")  # the first mart asked for writes them all
-    pais = wh.table("analytic/mart_groups").where("grain = 'pais' AND anio IS NOT NULL AND operacion_key IS NOT NULL")
-    halves = [pais.where(F.col(k).isNotNull()).select(
-        F.lit(k).alias("kind"), "anio", "trimestre", "operacion_key", F.col(k).alias("country")).distinct()
-        for k in ("pais_origen_key", "pais_destino_key")]
-    views = {
-        "v_fob_por_operacion": monthly,
-        "v_top_paises": halves[0].unionByName(halves[1]),
-        "v_tendencia_mensual": monthly,
-        "v_ranking_aduana": wh.mart("agg_fob_aduana_mensual").select(
-            "anio", "trimestre", "tipo_operacion", "nombre_aduana").distinct(),
-        "v_top_ncm": wh.mart("agg_fob_ncm_anual"),
-        "v_canal_control": wh.mart("agg_canal_mensual"),
-    }
-    rows = [(n, count(wh.mart(n)), g) for n, g in GRAINS.items()] + [(n, count(df), "view") for n, df in views.items()]
-    return _stack([c.select(F.lit(n).alias("name"), "rows", F.lit(g).alias("grain")) for n, c, g in rows])
+    from tradewh.plans.views import VIEWS
+
+    frames = [(n, wh.mart(n), g) for n, g in GRAINS.items()] + [(n, fn(wh), "view") for n, fn in VIEWS.items()]
+    return _stack([df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("name"), "rows", F.lit(g).alias("grain"))
+                   for n, df, g in frames])
 
 
 def fact_id_density(wh) -> DataFrame:

@@ -7,9 +7,14 @@ writing a Parquet table that later steps read back (this also cuts lineage):
 
 Every load writes a new snapshot folder below the root and, last of all, a row
 to the root's ``loads`` table; ``Warehouse.open`` reads the latest load there.
-A load that fails half-way leaves the previous snapshot as it was. Marts are
-materialised on first use under the snapshot's ``analytic/``. The root of the
-fixture warehouses is a folder inside the cluster's shared checkpoint directory
+A load that fails half-way leaves the previous snapshot as it was.
+
+Marts are written in sets: each goes to a folder of its own in the snapshot
+(``analytic-<id>/``) and counts from the row on that names it in the snapshot's
+``mart_sets`` table, written when all five are there. Written sets are never
+touched again: reopening a snapshot reads its latest set, a refresh writes
+another, and whoever reads an older one keeps its files until ``expire`` removes
+what nobody can be reading any more. The root of the fixture warehouses is a folder inside the cluster's shared checkpoint directory
 (read from the session).
 """
 
@@ -17,7 +22,10 @@ from __future__ import annotations
 
 import hashlib
 import threading
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -31,12 +39,16 @@ from tradewh.plans.staging import build_staging
 from tradewh.operators.materialize import scratch
 from tradewh.schemas import DIM_SCHEMAS, FACT_SCHEMA, STAGING_SCHEMA, conform
 from tradewh.session import ensure_checkpoint_dir
+from tradewh.sources import folders
 from tradewh.sources.landing import read_bronze, write_bronze
-from tradewh.sources.sinks import write_parquet
+from tradewh.sources.sinks import write_all, write_parquet
 
 DIM_NAMES = dims_mod.NAMES
 FACT = "fact_aduana_item"
 STAGING = "stg_aduana"
+MART_SETS, PINS = "mart_sets", "pins"
+#: Folders that single runs leave in a snapshot: exports and round trips.
+RUNS = ("bronze-", "export-", "flat-")
 
 
 class Warehouse:
@@ -44,7 +56,7 @@ class Warehouse:
         """``root``: the folder of one snapshot."""
         self.spark = spark
         self.root = root.rstrip("/")
-        self._marts: dict[str, DataFrame] = {}
+        self._mart_folder: str | None = None
         self._lock = threading.Lock()
 
     # -- storage ---------------------------------------------------------
@@ -86,21 +98,53 @@ class Warehouse:
         return {n: self.dim(n) for n in DIM_NAMES}
 
     def mart(self, name: str) -> DataFrame:
-        """Materialised mart ``analytic/<name>``; the first request builds all five."""
+        """Materialised mart; the first request builds all five if the snapshot has none."""
+        return self.spark.read.parquet(self.mart_path(name))
+
+    def mart_path(self, name: str) -> str:
         with self._lock:
-            if name not in self._marts:
-                self.materialize_marts()
-            return self._marts[name]
+            if self._mart_folder is None:
+                sets = self._mart_sets()
+                self._mart_folder = sets[-1] if sets else self._write_marts()
+            return f"{self._mart_folder}/{name}"
+
+    def _mart_sets(self) -> list[str]:
+        """Folders of the complete mart sets, the latest last."""
+        if not folders.exists(self.spark, self.path(MART_SETS)):
+            return []
+        return [r["folder"] for r in self.table(MART_SETS).orderBy("built_at", "folder").collect()]  # a row per refresh
+
+    def _write_marts(self) -> str:
+        from tradewh.plans import marts  # local import: marts import this module
+
+        folder = self.path(f"analytic-{uuid.uuid4().hex}")
+        frames = marts.build_marts(self, folder)
+        write_all({name: (df, f"{folder}/{name}") for name, df in frames.items()}, range_by=marts.SORT_KEYS)
+        done = self.spark.range(1).select(F.current_timestamp().alias("built_at"), F.lit(folder).alias("folder"))
+        done.coalesce(1).write.mode("append").parquet(self.path(MART_SETS))
+        return folder
 
     def materialize_marts(self) -> dict[str, DataFrame]:
-        """Build M1-M5 from one scan of the fact and write each."""
-        from tradewh.plans import marts  # local import: marts import this module
+        """Refresh (S7): build M1-M5 from one scan of the fact as a new set, which
+        this handle and later ones read from then on."""
+        from tradewh.plans import marts
 
-        for name, df in marts.build_marts(self).items():
-            path = self.path(f"analytic/{name}")
-            write_parquet(df, path, sort_by=marts.SORT_KEYS[name])
-            self._marts[name] = self.spark.read.parquet(path)
-        return dict(self._marts)
+        with self._lock:
+            self._mart_folder = self._write_marts()
+        return {name: self.mart(name) for name in marts.KEY_GRAINS}
+
+    @contextmanager
+    def pinned(self, hours: float = 24.0) -> Iterator["Warehouse"]:
+        """Keeps the snapshot and its mart sets from ``expire`` for as long as the
+        block runs, and for so many hours at most (should the reader be lost)."""
+        until = int((time.time() + 3600 * hours) * 1000)
+        root, name = self.root.rsplit("/", 1)
+        pin = f"{root}/{PINS}/{name}~{until}~{uuid.uuid4().hex}"
+        folders.touch(self.spark, pin)
+        try:
+            yield self
+        finally:
+            folders.remove(self.spark, pin)
 
     # -- load ------------------------------------------------------------
     @classmethod
@@ -141,6 +185,44 @@ class Warehouse:
         last = spark.read.parquet(f"{root.rstrip('/')}/loads").orderBy(F.desc("loaded_at"), F.desc("folder")).first()
         return cls(spark, last["folder"])
 
+    @classmethod
+    def expire(cls, spark: SparkSession, root: str, keep: int = 2, grace_hours: float = 24.0) -> list[str]:
+        """Remove what no reader needs below ``root``; returns the removed folders.
+
+        Marked as needed: the latest ``keep`` loads; loads and mart sets that a
+        newer one replaced less than ``grace_hours`` ago, which readers without a
+        pin may still have open; snapshots that a pin names. Swept: every other
+        ``load-*`` folder (those of failed loads once nothing has changed in them
+        for as long, since they may be running), other mart sets of the snapshots
+        that stay, and folders of single runs in them.
+        """
+        root, now = root.rstrip("/"), time.time() * 1000
+        since = now - 3_600_000 * grace_hours
+        pins = [p.split("~") for p in folders.children(spark, f"{root}/{PINS}")]
+        pinned = {p[0] for p in pins if int(p[1]) > now}
+        loads = spark.read.parquet(f"{root}/loads").select("folder", F.unix_millis("loaded_at").alias("ms"))
+        loads = [(r["folder"].rsplit("/", 1)[1], r["ms"]) for r in loads.orderBy("ms", "folder").collect()]  # a row per load
+        replaced = {a: b_ms for (a, _), (_, b_ms) in zip(loads, loads[1:])}
+        kept = {n for n, _ in loads[-keep:]} | pinned | {n for n, ms in replaced.items() if ms > since}
+        complete = {n for n, _ in loads}
+        gone = []
+        for name in folders.children(spark, root):
+            if name.startswith("load-") and name not in kept and (name in complete or folders.last_change(spark, f"{root}/{name}") <= since):
+                gone.append(f"{root}/{name}")
+        for name in (kept & complete) - pinned:
+            wh = cls(spark, f"{root}/{name}")
+            sets = [f.rsplit("/", 1)[1] for f in wh._mart_sets()]
+            for child, changed in folders.children(spark, wh.root).items():
+                path = wh.path(child)
+                if child.startswith("analytic-") and child not in sets[-1:] or child.startswith(RUNS):
+                    newer = sets[sets.index(child) + 1] if child in sets else None
+                    when = folders.last_change(spark, wh.path(newer)) if newer else max(changed, folders.last_change(spark, path))
+                    if when <= since:
+                        gone.append(path)
+        for path in gone:
+            folders.remove(spark, path)
+        return sorted(gone)
+
 
 _CACHE: dict[tuple, Warehouse] = {}
 _CACHE_LOCK = threading.Lock()
@@ -198,8 +280,6 @@ def _rebind(wh: Warehouse, spark: SparkSession) -> Warehouse | None:
     fresh.bronze_path = wh.bronze_path
     try:
         fresh.table(FACT).schema  # noqa: B018 - forces a listing of the written files
-        for name in wh._marts:
-            fresh._marts[name] = spark.read.parquet(fresh.path(f"analytic/{name}"))
     except Exception:  # noqa: BLE001 - files gone: rebuild
         return None
     return fresh
