@@ -68,12 +68,18 @@ def test_fact_keeps_every_row_when_lookups_shuffle(spark, wh):
             spark.conf.unset(k)
 
 
-def test_a_missing_offset_is_an_error(spark):
-    tagged = spark.range(10).select((F.col("id") * 0).alias(ROW_TAG), "id")
-    lost = ids_from_tags(tagged, ROW_TAG, "k")
-    assert lost.count() == 10  # same partition, so all have an offset
-    with pytest.raises(Exception, match="no offset"):
-        spark.range(1).select(F.coalesce(F.lit(None).cast("long"), F.raise_error(F.lit("no offset")).cast("long"))).collect()
+def test_a_missing_offset_is_an_error(spark, tmp_path):
+    """Offsets that lack a partition of the tagged table stop the load; rows aren't lost."""
+    from tradewh.operators.keys import partition_offsets
+
+    spark.range(0, 100, 1, 4).select(F.monotonically_increasing_id().alias(ROW_TAG), "id").write.parquet(str(tmp_path / "t"))
+    tagged = spark.read.parquet(str(tmp_path / "t"))
+    offsets = partition_offsets(tagged, ROW_TAG)
+    assert offsets.count() == 4
+    assert sorted(r["k"] for r in ids_from_tags(tagged, ROW_TAG, "k", offsets=offsets).collect()) == list(range(1, 101))
+    lost = ids_from_tags(tagged, ROW_TAG, "k", offsets=offsets.where("_tw_part <> 2"))
+    with pytest.raises(Exception, match="has no offset"):
+        lost.collect()
 
 
 def test_fact_files_are_bounded_by_year_not_by_task(wh):

@@ -42,8 +42,8 @@ def parse_money(c: Column | str) -> Column:
 
 
 def parse_money_strict(c: Column | str) -> Column:
-    """Decimal-point text -> DECIMAL(18,2); a comma makes it NULL (legacy P3)."""
-    return col(c).try_cast(MONEY)
+    """Decimal-point text -> DECIMAL(18,2) through DOUBLE; a comma makes it NULL (legacy P3)."""
+    return F.when(F.instr(col(c), ",") == 0, parse_money(c))
 
 
 def parse_double(c: Column | str) -> Column:

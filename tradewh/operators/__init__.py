@@ -6,3 +6,4 @@ from tradewh.operators.windows import with_share, with_rank, running_total, with
 from tradewh.operators.pivot import pivot, select_existing  # noqa: F401
 from tradewh.operators.topk import top_k  # noqa: F401
 from tradewh.operators.parallelism import spread  # noqa: F401
+from tradewh.operators.distinct import bitmaps, distinct_of, id_blocks, repeated_ids  # noqa: F401

@@ -28,21 +28,29 @@ _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
 
-def ids_from_tags(tagged: DataFrame, tag_col: str, key_col: str, cast: str | None = None) -> DataFrame:
+def partition_offsets(tagged: DataFrame, tag_col: str) -> DataFrame:
+    """``_tw_part``, ``_tw_off``: the rows in the partitions before each one."""
+    part = F.shiftright(F.col(tag_col), _POS_BITS)
+    counts = tagged.select(part.alias("_tw_part")).groupBy("_tw_part").agg(F.count(F.lit(1)).alias("_tw_n"))
+    # One row per partition: the window below runs over the partition count, not the data.
+    before = F.sum("_tw_n").over(Window.orderBy("_tw_part").rowsBetween(Window.unboundedPreceding, -1))
+    return counts.select("_tw_part", F.coalesce(before, F.lit(0)).alias("_tw_off"))
+
+
+def ids_from_tags(tagged: DataFrame, tag_col: str, key_col: str, cast: str | None = None,
+                  offsets: DataFrame | None = None) -> DataFrame:
     """Replace the stored tag by a dense key 1..n.
 
     ``tagged`` must be a written table: the tags (``monotonically_increasing_id``
     at the time of writing) are then the same rows' tags wherever they are read,
     whatever partitions, joins or retries lie between. Rows join their
-    partition's offset with a LEFT join and a missing offset is an error, so no
-    row can be lost here.
+    partition's offset (``offsets``: those of ``partition_offsets``) with a LEFT
+    join and a missing offset is an error, so no row can be lost here.
     """
+    if offsets is None:
+        offsets = partition_offsets(tagged, tag_col)
     part = F.shiftright(F.col(tag_col), _POS_BITS)
     pos = F.col(tag_col).bitwiseAND(F.lit(_POS_MASK))
-    counts = tagged.select(part.alias("_tw_part")).groupBy("_tw_part").agg(F.count(F.lit(1)).alias("_tw_n"))
-    # One row per partition: the window below runs over the partition count, not the data.
-    before = F.sum("_tw_n").over(Window.orderBy("_tw_part").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select("_tw_part", F.coalesce(before, F.lit(0)).alias("_tw_off"))
     missing = F.raise_error(F.lit("a row's partition has no offset: the tagged table changed")).cast("long")
     key = F.coalesce(F.col("_tw_off"), missing) + pos + 1
     if cast:

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tradewh.functions.numeric import round_half_away, safe_div, sum_money
 from tradewh.functions.text import decode_canal
+from tradewh.operators.distinct import bitmaps, distinct_of
 from tradewh.operators.windows import with_rank, with_share
 from tradewh.plans.star import star
 
@@ -65,6 +66,7 @@ SORT_KEYS = {
     "agg_fob_aduana_mensual": ["anio", "mes_numero", "tipo_operacion"],
     "agg_fob_ncm_anual": ["anio", "tipo_operacion"],
     "agg_canal_mensual": ["anio", "mes_numero", "nombre_aduana", "canal_codigo"],
+    "paises_mes": ["anio", "mes_numero"],
 }
 _SUMS = {
     "fob_total": "fob_dolar", "kilo_neto_total": "kilo_neto", "flete_total": "flete_dolar",
@@ -143,8 +145,29 @@ def _rolled_up(groups: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def paises_mes(wh) -> DataFrame:
+    """Origin countries per month and operation as bitmaps of their dense keys, for
+    distinct counts at this and every coarser level (A8). Reads three key columns."""
+    keys = ["anio", "mes_numero", "trimestre", "semestre", "operacion_key"]
+    return bitmaps(star(wh, ["dim_fecha"]).where("operacion_key IS NOT NULL"), keys, "pais_origen_key")
+
+
+def distinct_countries(wh) -> DataFrame:
+    """Distinct origin countries per operation by month, quarter, year and in all,
+    rolled up from the stored bitmaps; the fact isn't read."""
+    maps = wh.mart("paises_mes").join(wh.dim("dim_operacion"), "operacion_key")
+    out = None
+    for level, keys in {"mes": ["anio", "mes_numero"], "trimestre": ["anio", "trimestre"], "anio": ["anio"], "todo": []}.items():
+        n = distinct_of(maps, [*keys, "tipo_operacion"], "paises")
+        period = [F.col(k) if k in keys else F.lit(None).cast("int").alias(k) for k in ("anio", "mes_numero", "trimestre")]
+        n = n.select(F.lit(level).alias("nivel"), *period, "tipo_operacion", "paises")
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
 def build_marts(wh, folder: str) -> dict[str, DataFrame]:
-    """M1-M5 from the table of groups, which is written to ``folder`` first.
+    """M1-M5 from the table of groups, which is written to ``folder`` first, and the
+    bitmaps of countries.
 
     Per mart: its grain's rows with its keys present (M1 and M3 rolled up), then
     inner joins of the dimensions onto the *aggregated* rows to attach the
@@ -186,7 +209,7 @@ def build_marts(wh, folder: str) -> dict[str, DataFrame]:
             m = m.withColumn("canal_codigo", F.col("canal")).withColumn("canal_nombre", decode_canal("canal"))
         return m.withColumn("fob_promedio", round_half_away(safe_div(F.col("fob_total"), F.col("_n_fob")), 2))
 
-    out = {}
+    out = {"paises_mes": paises_mes(wh)}
     m = part("agg_fob_mensual_operacion")
     out["agg_fob_mensual_operacion"] = m.select(
         *GRAIN_KEYS["agg_fob_mensual_operacion"], F.col("_count").alias("cantidad_items"),

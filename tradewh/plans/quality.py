@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from tradewh.operators.distinct import id_blocks, repeated_ids
 from tradewh.plans.marts import GRAINS
 from tradewh.plans.warehouse import DIM_NAMES, FACT
 from tradewh.schemas import DIM_KEYS
@@ -37,22 +38,23 @@ def fact_orphans(wh) -> DataFrame:
     return counts.selectExpr(f"stack({len(FACT_KEYS)}, {pairs}) AS (key_column, null_rows)")
 
 
-def pk_check(wh) -> DataFrame:
+def pk_check(wh, fact: DataFrame | None = None) -> DataFrame:
     """Q5: key values that occur more than once, per dimension and for the fact.
 
-    A GROUP BY on the key (partial counts map-side) — for the fact this is one
-    shuffle of 8-byte ids.
+    Dimensions by a GROUP BY on the key. The fact's dense ids by blocks of 64, of
+    which partial ones are made in the scan tasks; ids are never shuffled.
     """
-    frames = []
-    for name, (key, _) in DIM_KEYS.items():
-        frames.append((name, wh.dim(name), key))
-    frames.append((FACT, wh.fact, "id_fact_key"))
-    return _stack([
-        df.groupBy(key).count().where(F.col("count") > 1)
-        .agg(F.count(F.lit(1)).alias("duplicate_keys"))
-        .select(F.lit(name).alias("table_name"), "duplicate_keys")
-        for name, df, key in frames
-    ])
+    frames = [wh.dim(name).groupBy(key).count().where(F.col("count") > 1).agg(F.count(F.lit(1)).alias("duplicate_keys"))
+              .select(F.lit(name).alias("table_name"), "duplicate_keys") for name, (key, _) in DIM_KEYS.items()]
+    repeated = repeated_ids(wh.fact if fact is None else fact, "id_fact_key")
+    return _stack([*frames, repeated.select(F.lit(FACT).alias("table_name"), "duplicate_keys")])
+
+
+def pk_check_planted(wh) -> DataFrame:
+    """Q5 over a fact in which every 97th id occurs twice and every 970th three times."""
+    f = wh.fact.select("id_fact_key")
+    again = f.where("id_fact_key % 97 = 0").unionByName(f.where("id_fact_key % 970 = 0"))
+    return pk_check(wh, f.unionByName(again)).where(F.col("table_name") == FACT)
 
 
 def fk_check(wh) -> DataFrame:
@@ -116,16 +118,16 @@ def mart_counts(wh) -> DataFrame:
 
 def fact_id_density(wh) -> DataFrame:
     """The fact's ids are 1..n: rows, distinct ids, smallest and largest id."""
-    ids = wh.fact.groupBy("id_fact_key").agg(F.count(F.lit(1)).alias("n"))
-    return ids.agg(
-        F.sum("n").alias("rows"), F.count(F.lit(1)).alias("distinct_ids"),
-        F.min("id_fact_key").cast("long").alias("min_id"), F.max("id_fact_key").cast("long").alias("max_id"))
+    return id_blocks(wh.fact, "id_fact_key").agg(
+        F.sum("rows").alias("rows"), F.sum(F.bit_count("bits")).cast("long").alias("distinct_ids"),
+        F.min("least").cast("long").alias("min_id"), F.max("most").cast("long").alias("max_id"))
 
 
 CHECKS = {
     "dim_counts": dim_counts,
     "fact_orphans": fact_orphans,
     "pk_check": pk_check,
+    "pk_check_planted": pk_check_planted,
     "fk_check": fk_check,
     "not_null_check": not_null_check,
     "channel_totals_view": channel_totals_view,

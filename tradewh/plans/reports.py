@@ -16,8 +16,9 @@ from tradewh.functions.numeric import pct_change, round_half_away, safe_div, sum
 from tradewh.functions.text import decode_canal, left
 from tradewh.operators.joins import latest_year
 from tradewh.operators.topk import top_k
-from tradewh.operators.windows import running_total, with_lag, with_rank
+from tradewh.operators.windows import with_lag, with_rank
 from tradewh.plans.star import star
+from tradewh.plans.views import v_tendencia_mensual
 
 
 def _avg_of(c: str, scale: int) -> Column:
@@ -61,22 +62,12 @@ def r2_top_countries(wh, k: int = 10) -> DataFrame:
 
 
 def r3_trend(wh) -> DataFrame:
-    """Monthly trend of the latest year: MoM change and year-to-date.
-
-    Read from the monthly mart instead of re-scanning the fact through the
-    trend view: the view's base rows (FOB and item count per year, month and
-    operation) are exactly the mart's rows, so LAG over the previous existing
-    month and the running total give the same values.
-    """
-    m = wh.mart("agg_fob_mensual_operacion").select(
-        "anio", "mes_numero", "mes_nombre", "tipo_operacion", "fob_total", "cantidad_items")
-    m = with_lag(m, "fob_total", ["tipo_operacion"], ["anio", "mes_numero"], "_prev")
-    m = running_total(m, "fob_total", ["anio", "tipo_operacion"], ["mes_numero"], "fob_ytd")
-    v = latest_year(m)
+    """Monthly trend of the latest year: MoM change and year-to-date, from the trend
+    view; the latest year is that of the monthly mart, as in the source system."""
+    last = wh.mart("agg_fob_mensual_operacion").agg(F.max("anio").alias("_last"))  # one row
+    v = v_tendencia_mensual(wh).join(F.broadcast(last), F.col("anio") == F.col("_last"))
     return v.select(
-        "mes_numero", "mes_nombre", "tipo_operacion", "fob_total",
-        (F.col("fob_total") - F.col("_prev")).alias("fob_variacion_abs"),
-        round_half_away(pct_change("fob_total", "_prev"), 2).alias("mom_pct"),
+        "mes_numero", "mes_nombre", "tipo_operacion", "fob_total", "fob_variacion_abs", F.col("fob_variacion_pct").alias("mom_pct"),
         "fob_ytd", "cantidad_items",
     ).orderBy("tipo_operacion", "mes_numero")
 

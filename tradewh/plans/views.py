@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradewh.functions.numeric import pct_change, round_half_away, sum_money
+from tradewh.operators.distinct import bitmaps
 from tradewh.operators.windows import running_total, with_lag, with_rank, with_share
 from tradewh.plans.marts import _count, avg_money, canal_grouped
 from tradewh.plans.star import star
@@ -59,11 +60,14 @@ def v_top_paises(wh) -> DataFrame:
 def v_tendencia_mensual(wh) -> DataFrame:
     """Monthly series with change vs the previous *existing* month and YTD."""
     keys = ["anio", "mes_numero", "mes_nombre", "trimestre", "semestre", "tipo_operacion"]
-    base = star(wh, ["dim_fecha", "dim_operacion"]).groupBy(*keys).agg(
-        sum_money("fob_dolar").alias("fob_total"),
-        sum_money("kilo_neto").alias("kilo_neto_total"),
-        _count().alias("cantidad_items"),
-        F.count_distinct("pais_origen_key").alias("paises_distintos"),
+    # Distinct countries as bitmaps of their dense keys; buckets don't overlap, so counts add up.
+    maps = bitmaps(star(wh, ["dim_fecha", "dim_operacion"]), keys, "pais_origen_key", sum_money("fob_dolar").alias("fob_total"),
+                   sum_money("kilo_neto").alias("kilo_neto_total"), _count().alias("cantidad_items"))
+    base = maps.groupBy(*keys).agg(
+        F.sum("fob_total").cast("decimal(38,2)").alias("fob_total"),
+        F.sum("kilo_neto_total").cast("decimal(38,2)").alias("kilo_neto_total"),
+        F.sum("cantidad_items").alias("cantidad_items"),
+        F.sum(F.bitmap_count("bits")).alias("paises_distintos"),
     )
     df = with_lag(base, "fob_total", ["tipo_operacion"], ["anio", "mes_numero"], "_prev")
     df = running_total(df, "fob_total", ["anio", "tipo_operacion"], ["mes_numero"], "fob_ytd")

@@ -116,6 +116,7 @@ QUERIES = {
     **{f"sql_{name}": _catalog_view(name) for name in view_sql.VIEW_SQL},
     "sql_normalizar_pais": sql_normalizar_pais,
     "sql_decode_canal": sql_decode_canal,
+    "distinct_countries": _report(marts_mod.distinct_countries),
     "r1_yoy": _report(reports.r1_yoy),
     "r2_top_countries": _report(reports.r2_top_countries),
     "r3_trend": _report(reports.r3_trend),
@@ -128,6 +129,7 @@ QUERIES = {
     **{name: _report(fn) for name, fn in charts.CHARTS.items()},
     **{name: _report(fn) for name, fn in quality.CHECKS.items()},
     "bronze_roundtrip": lambda spark, sf_dir: exports.bronze_roundtrip(_wh(spark, sf_dir), _wh(spark, sf_dir).bronze),
+    "bronze_split": lambda spark, sf_dir: exports.bronze_split(_wh(spark, sf_dir), _wh(spark, sf_dir).bronze),
     "export_layers": lambda spark, sf_dir: exports.export_layers_q(_wh(spark, sf_dir)),
     "export_flat": lambda spark, sf_dir: exports.export_flat_q(_wh(spark, sf_dir)),
 }

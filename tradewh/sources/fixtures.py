@@ -6,7 +6,7 @@ grows with the fixture tables. Dirty values are planted on purpose so that every
 clean-up step has work to do: bad dates, decimal commas, ISO prefixes, corrupt
 'Ñ', double spaces, mixed case, NULL keys, unknown channel codes, FOB = 0,
 integer text with '.0', quantities with a comma, dates with '/', with a time and
-with junk behind them, non-breaking blanks, sub-cent prices, numbers out of range,
+with junk behind them, non-breaking blanks, sub-cent prices and quantities, numbers out of range,
 a third kind of operation, NULL operations, offices and positions.
 
 Join strategy: lineitem ⋈ orders is the only large-large join (sort-merge on
@@ -126,7 +126,8 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         "MARCA ITEM": F.col("p_brand"),
         "ACUERDO": F.lit(None).cast("string"),
         "NUMERO SUBITEM": F.col("l_linenumber").cast("string"),
-        "CANTIDAD SUBITEM": F.when(ok % 10 == 0, _comma(qty)).otherwise(qty.cast("string")),
+        "CANTIDAD SUBITEM": F.concat(F.when(ok % 10 == 0, _comma(qty)).otherwise(qty.cast("string")),
+                                     F.when(ok % 11 == 0, F.lit("5")).otherwise(F.lit(""))),
         "PRECION UNITARIO SUBITEM": F.concat(_comma(_money(F.col("p_retailprice"))), F.when(ok % 3 == 0, F.lit("5")).otherwise(F.lit(""))),
         "DESC SUBITEM": F.lit(None).cast("string"),
         "MARCA SUBITEM": F.lit(None).cast("string"),

@@ -36,3 +36,14 @@ def touch(spark: SparkSession, path: str) -> None:
     """An empty file."""
     fs, p = _at(spark, path)
     fs.create(p, True).close()
+
+
+def largest(spark: SparkSession, glob: str | list[str]) -> int:
+    """Bytes of the largest file that a glob (or a list of them) matches, directly or in a folder."""
+    most = 0
+    for one in [glob] if isinstance(glob, str) else glob:
+        fs, p = _at(spark, one)
+        for status in fs.globStatus(p) or []:
+            for s in fs.listStatus(status.getPath()) if status.isDirectory() else [status]:
+                most = max(most, s.getLen())
+    return most

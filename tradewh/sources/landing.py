@@ -7,10 +7,14 @@ and a fixed schema means no per-file type sniffing pass over the data.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tradewh.schemas import RAW_SCHEMA
+from tradewh.sources import folders
+from tradewh.sources.csv_split import read_split_csv
 
 
 class LandingNotFound(FileNotFoundError):
@@ -19,17 +23,22 @@ class LandingNotFound(FileNotFoundError):
 
 def read_landing_csv(spark: SparkSession, glob: str, sep: str = ",",
                      encoding: str = "UTF-8", schema=RAW_SCHEMA, escape: str = '"',
-                     multi_line: bool = True) -> DataFrame:
+                     multi_line: bool = True, split: bool | None = None) -> DataFrame:
     """All CSV files of the landing zone as one relation.
 
-    Quoted fields may hold line breaks. A file can then not be split (one task
-    reads it whole, as a stream), so land many files rather than a huge one, or
-    pass ``multi_line=False`` when no field holds a line break.
+    Quoted fields may hold line breaks. Spark's own reader then reads each file in
+    one task; ``split`` reads files in many tasks each (``csv_split``), with the
+    same rows. By default it does where a file is larger than a split and quotes
+    are doubled. ``multi_line=False`` says that no field holds a line break.
 
     ``enforceSchema=False`` makes Spark check each file's header against the
     schema, so a file with renamed or reordered columns fails loudly instead
     of shifting values into the wrong columns.
     """
+    if multi_line and split is None:
+        split = escape == '"' and folders.largest(spark, glob) > _split_bytes(spark)
+    if multi_line and split:
+        return read_split_csv(spark, glob, sep, encoding, schema)
     try:
         return (
             spark.read.option("header", True)
@@ -48,6 +57,12 @@ def read_landing_csv(spark: SparkSession, glob: str, sep: str = ",",
         raise LandingNotFound(f"landing files not found: {glob}") from exc
 
 
+def _split_bytes(spark: SparkSession) -> int:
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    n, unit = re.fullmatch(r"\s*(\d+)\s*([kmgtp]?)i?b?\s*", size.lower()).groups()
+    return int(n) << 10 * " kmgtp".index(unit or " ")
+
+
 def write_bronze(df: DataFrame, path: str) -> str:
     """Replace the bronze snapshot with ``df`` (ZSTD Parquet)."""
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
