@@ -10,8 +10,13 @@ well-split 100 TB input is not shuffled.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 
+#: A shuffle or broadcast as a node of a plan's tree (not a word in a path or column).
+_EXCHANGE = re.compile(r"(?m)^[\s:+\-]*(?:\*\(\d+\) )?(?:Broadcast)?Exchange\b")
+
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """``df`` in at least ``min_partitions`` (default: the cluster's cores) tasks.
@@ -20,7 +25,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     partitions itself, and counting them would run that shuffle.
     """
     spark = df.sparkSession
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+    if _EXCHANGE.search(df._jdf.queryExecution().executedPlan().toString()):
         return df
     target = min_partitions or spark.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df

@@ -51,6 +51,20 @@ def fact_items(spark, sf_dir) -> DataFrame:
     return to_output(f.drop("id_fact_key", "batch_id", "fecha_carga"))
 
 
+def load_audit(spark, sf_dir) -> DataFrame:
+    """The audit columns (P12, P13): one batch, named by its time, on every row, and
+    a load time between the oldest plausible one and now."""
+    wh = _wh(spark, sf_dir)
+    out = None
+    for name, df in (("stg_aduana", wh.staging), ("fact_aduana_item", wh.fact)):
+        now = F.col("fecha_carga").between(F.current_timestamp() - F.expr("INTERVAL 7 DAYS"), F.current_timestamp())
+        row = df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("batch_id").alias("batches"),
+                     F.count_if(F.col("batch_id").rlike(r"^BATCH_\d{8}_\d{6}$")).alias("well_named"),
+                     F.count_if(now).alias("recently_loaded")).select(F.lit(name).alias("table_name"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def _dim(name):
     return lambda spark, sf_dir: _wh(spark, sf_dir).dim(name)
 
@@ -110,6 +124,7 @@ QUERIES = {
     **{name: _dim(name) for name in dims_mod.NAMES},
     "dim_fecha_legacy_quarter": dim_fecha_legacy_quarter,
     "fact_items": fact_items,
+    "load_audit": load_audit,
     **{name: _mart(name) for name in marts_mod.KEY_GRAINS},
     **{f"{name}_legacy": _legacy_mart(name) for name in ("agg_fob_pais_anual", "agg_fob_ncm_anual")},
     **{name: _view(fn) for name, fn in views.VIEWS.items()},
