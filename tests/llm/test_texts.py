@@ -286,6 +286,49 @@ def test_lm_base_equals_brute_force(spark, docs):
         assert all(r["score"] < 0 for r in got)
 
 
+def word_likelihood(word, v, known={}):
+    """Log of the sum over all segmentations, from the word's end to its start."""
+    if word not in known:
+        ahead = [0.0] * (len(word) + 1)
+        for i in range(len(word) - 1, -1, -1):
+            ways = [v.logp[p] + ahead[j] for j in range(i + 1, min(len(word), i + v.longest) + 1) if (p := v.ids.get(word[i:j])) is not None]
+            if v.ids.get(word[i]) is None:
+                ways.append(sum(v.logp[v.bytes_[b]] for b in word[i].encode()) + ahead[i + 1])
+            ahead[i] = max(ways) + math.log(sum(math.exp(w - max(ways)) for w in ways))
+        known[word] = ahead[0]
+    return known[word]
+
+
+def test_lm_scores_equal_brute_force(spark, docs):
+    """Whole scores of whole texts: the vocabulary's scores over all segmentations, and
+    the mixture with whole words; frequent long words are looked up as well."""
+    long = "z" * 70 + "é"
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").where("length(text) < 3000").collect()]
+    rows += [(900_000 + i, f"{long} {long} the {'q' * (60 + i)}") for i in range(8)] + [(None, None), (2, "")]
+    v = pieces.vocabulary()
+    low = lambda t: re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    learned = [low(t) for i, t in rows if not held(i)]
+    c = Counter(w for t in learned for w in t)
+    n, p_end = sum(c.values()), (len(learned) + 1) / (sum(c.values()) + len(learned) + 2)
+    rest, given = math.log(1 - p_end), lattice_lm.DISCOUNT * len(c) / n
+
+    def mixed(w):
+        return math.log(given * math.exp(word_likelihood(" " + w, v)) + max(0, c[w] - lattice_lm.DISCOUNT) / n) if c[w] else math.log(given) + word_likelihood(" " + w, v)
+
+    want = sorted((str(i), sum(word_likelihood(" " + w, v) + rest for w in low(t)) + math.log(p_end),
+                   sum(mixed(w) + rest for w in low(t)) + math.log(p_end)) for i, t in rows)
+    from tradewh.llm.common import in_fold
+
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    for frequent in (100_000, 30):
+        got = sorted((str(r["doc_id"]), r["score"] * math.log(10), r["score_mixed"] * math.log(10))
+                     for r in lattice_lm.score_documents(table, ~in_fold("doc_id", 7, 2), frequent=frequent).collect())
+        assert [g[0] for g in got] == [w[0] for w in want]
+        for g, w in zip(got, want):
+            assert g[1:] == pytest.approx(w[1:], rel=1e-9)
+
+
 def test_lm_words_and_end_add_up_and_edges(spark, docs, no_docs):
     assert lattice_lm.score_documents(no_docs, F.lit(True)).count() == 0
     got = {r["doc_id"]: r for r in lattice_lm.score_documents(docs.where("doc_id in (2, 3)"), F.lit(True)).collect()}
@@ -298,5 +341,8 @@ def test_lm_prefers_known_prose(spark):
     words = "alpha beta gamma delta epsilon".split()
     rng = random.Random(2)
     rows = [(i, " ".join(rng.choices(words, k=30))) for i in range(30)] + [(100, "alpha beta gamma"), (101, "zq xj vkw"), (102, "alphabet gammadelta")]
-    got = {r["doc_id"]: r["score"] for r in lattice_lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") < 100).collect()}
-    assert got[100] > got[102] > got[101] - 10 and got[100] > got[101]
+    scored = lattice_lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") < 100).collect()
+    for column in ("score", "score_mixed"):
+        got = {r["doc_id"]: r[column] for r in scored}
+        assert got[100] > got[102] > got[101] - 10 and got[100] > got[101]
+    assert next(r["score_mixed"] > r["score"] for r in scored if r["doc_id"] == 100)

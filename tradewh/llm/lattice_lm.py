@@ -1,35 +1,39 @@
 """LM scoring: subword lattice likelihood.
 
 A word's lattice has an arc for every piece of an existing vocabulary that
-matches in it, weighed by the piece's probability, and for words seen in
-training one arc over the whole word, weighed by its discounted frequency. A
-word's probability is the sum over all its segmentations, by forward recursion
-in log space; a text's is the product over its words (no piece reaches over a
-word's end) and an end. All words and the end add up to one: the discount
-(``DISCOUNT`` of each distinct word's count) is what the pieces share, and a
-piece that starts a word (its mark) is what ends the word before.
+matches in it, weighed by the piece's probability. A word's probability is the
+sum over all its segmentations, by forward recursion in log space; a text's is
+the product over its words (no piece reaches over a word's end) and an end,
+whose probability is learned. A piece that starts a word (its mark) is what ends
+the word before.
+
+The vocabulary file ranks its pieces and states no probabilities: they are
+Zipf's law on the rank. ``rounds`` of expectation maximisation over all distinct
+training words can re-estimate them (none by default).
+
+Beside the score stand the add-one word unigram ``base_score`` and
+``score_mixed``, which shares the probability of the words between the lattices
+(``DISCOUNT`` of each distinct word's count) and whole words by their discounted
+frequency in training.
 
 1. Counts: tasks count words in a table of bounded size and hand on (word,
    times in training, times in all); an aggregate adds them up. This table
    grows with the corpus and is never broadcast or collected.
-2. Fit: piece probabilities start from the vocabulary's own order (Zipf's law
-   on ranks) and take ``ROUNDS`` rounds of expectation maximisation over all
-   distinct training words (each counts as its discount, so alike); tasks
-   return one number per piece (the vocabulary bounds them).
-3. Every distinct word gets its lattice probability once.
-4. Texts: the ``FREQUENT`` most frequent words (a bounded table, no word in it
-   longer than ``FREQUENT_CHARS``) are looked up in the tasks; only the rare
-   words go through a join on the word. So no join key is hot.
-
-Beside the score stands the add-one word unigram ``base_score``.
-
-Defined results: a null or empty text is the end alone; rows without an id
-belong to training; repeated rows count and are scored once each; without
-training tokens the model is the vocabulary's own order.
+2. Every distinct word gets its lattice probability once.
+3. Texts: the ``FREQUENT`` most frequent words (a bounded table: a word of more
+   than ``FREQUENT_BYTES`` bytes stands there as its digest) are looked up in the
+   tasks; only the rare words go through a join on the word. So no join key is hot.
+
+Defined results: a null or empty text is the end alone; words and texts of any
+length are taken whole; rows without an id belong to training; repeated rows
+count and are scored once each; of equally frequent words all or none are looked
+up, the scores are the same; without training tokens only the end's probability
+is another; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter, defaultdict
@@ -44,10 +48,10 @@ from tradewh.llm.common import pick
 from tradewh.llm.pieces import VOCABULARY, Vocabulary, vocabulary
 from tradewh.operators.materialize import materialize
 
-ROUNDS = 2
+ROUNDS = 0
 DISCOUNT = 0.75
 FREQUENT = 100_000
-FREQUENT_CHARS = 64
+FREQUENT_BYTES = 64
 #: Pieces count as often as this many by Zipf's law before the corpus is seen.
 PRIOR = 1000.0
 _LOG10 = math.log(10)
@@ -278,7 +282,7 @@ def _most_frequent(words: DataFrame, most: int) -> DataFrame:
 
 
 def score_documents(docs: DataFrame, training: Column, rounds: int = ROUNDS, name: str = VOCABULARY, frequent: int = FREQUENT) -> DataFrame:
-    """doc_id, learned, n_tokens, n_known, train_tokens, base_score, score; a row per row of ``docs``.
+    """doc_id, learned, n_tokens, n_known, train_tokens, base_score, score, score_mixed; a row per row of ``docs``.
 
     ``training`` is a condition on ``doc_id``.
     """
@@ -306,42 +310,49 @@ def score_documents(docs: DataFrame, training: Column, rounds: int = ROUNDS, nam
             got, _ = word_logp([" " + w for w in batch.column("word").to_pylist()], v, table.value)
             whole = np.maximum(batch.column("c").to_numpy() - DISCOUNT, 0.0) / max(1, n_words)
             with np.errstate(divide="ignore"):
-                got = rest + np.logaddexp(got + math.log(given), np.log(whole))
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), batch.column("n"), pa.array(got / _LOG10)],
-                                             ["word", "c", "n", "lp"])
-
-    rated = materialize(words.mapInArrow(rate, "word string, c long, n long, lp double"), "rated")
-    # FREQUENT rows of FREQUENT_CHARS characters at most: bounded whatever the corpus holds.
-    top = _most_frequent(rated.where(F.length("word") <= FREQUENT_CHARS), frequent).toPandas()
-    known = {w.encode("utf-8", "surrogatepass"): k for k, w in enumerate(top["word"])}
+                mixed = rest + np.logaddexp(got + math.log(given), np.log(whole))
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), batch.column("n"), pa.array((rest + got) / _LOG10),
+                                              pa.array(mixed / _LOG10)], ["word", "c", "n", "lp", "mixed"])
+
+    rated = materialize(words.mapInArrow(rate, "word string, c long, n long, lp double, mixed double"), "rated")
+    # FREQUENT rows of FREQUENT_BYTES bytes at most: bounded whatever the corpus holds.
+    raw = F.encode("word", "UTF-8")
+    key = F.when(F.octet_length("word") <= FREQUENT_BYTES, raw).otherwise(F.concat(F.lit(b" "), F.unhex(F.md5(raw))))
+    top = _most_frequent(rated, frequent).select(key.alias("key"), "c", "lp", "mixed").toPandas()
+    known = {bytes(w): k for k, w in enumerate(top["key"])}
     top_c = top["c"].to_numpy(np.int64)
-    often = spark.sparkContext.broadcast((known, top_c > 0, np.log10(top_c + 1.0) - low, top["lp"].to_numpy(float)))
+    often = spark.sparkContext.broadcast((known, top_c > 0, np.log10(top_c + 1.0) - low, top["lp"].to_numpy(float), top["mixed"].to_numpy(float)))
     base_end, end = math.log10(docs_learned + 1) - low, end / _LOG10
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen, base, score = often.value
+        known, seen, base, score, mixed = often.value
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for text in batch.column("text").to_pylist():
                 words = words_of(text)
                 at = np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
-                rare = [words[k].decode("utf-8", "replace") for k in np.flatnonzero(at < 0).tolist()]
+                rare = []
+                for k in np.flatnonzero(at < 0).tolist():
+                    if len(words[k]) > FREQUENT_BYTES and (found := known.get(b" " + hashlib.md5(words[k]).digest())) is not None:
+                        at[k] = found
+                    else:
+                        rare.append(words[k].decode("utf-8", "replace"))
                 at = at[at >= 0]
                 row = (len(words) + 1, int(seen[at].sum()) + (docs_learned > 0), float(base[at].sum()) + base_end,
-                       float(score[at].sum()) + end, rare)
+                       float(score[at].sum()) + end, float(mixed[at].sum()) + end, rare)
                 for col, x in zip(out, row):
                     col.append(x)
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.string())]
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.list_(pa.string())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id")] + [pa.array(c, k) for c, k in zip(out, kinds)],
-                                             ["doc_id", "n_tokens", "n_seen", "base", "lm", "rare"])
+                                             ["doc_id", "n_tokens", "n_seen", "base", "lm", "lm_mixed", "rare"])
 
-    parts = docs.mapInArrow(run, "doc_id long, n_tokens long, n_seen long, base double, lm double, rare array<string>")
+    parts = docs.mapInArrow(run, "doc_id long, n_tokens long, n_seen long, base double, lm double, lm_mixed double, rare array<string>")
     parts = materialize(parts.withColumn("row", F.monotonically_increasing_id()), "lm-parts")
-    looked = parts.select("row", F.explode("rare").alias("word")).join(rated.select("word", "c", "lp"), "word")
+    looked = parts.select("row", F.explode("rare").alias("word")).join(rated.select("word", "c", "lp", "mixed"), "word")
     more = looked.groupBy("row").agg(F.count(F.when(F.col("c") > 0, 1)).alias("n2"),
-                                     F.sum(F.log10(F.col("c") + 1.0) - F.lit(low)).alias("b2"), F.sum("lp").alias("s2"))
+                                     F.sum(F.log10(F.col("c") + 1.0) - F.lit(low)).alias("b2"), F.sum("lp").alias("s2"), F.sum("mixed").alias("m2"))
     zero = lambda c: F.coalesce(c, F.lit(0))
     return parts.drop("rare").join(more, "row", "left").select(
         "doc_id", training.alias("learned"), "n_tokens", (F.col("n_seen") + zero(F.col("n2"))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + zero(F.col("b2"))).alias("base_score"),
-        (F.col("lm") + zero(F.col("s2"))).alias("score"))
+        (F.col("lm") + zero(F.col("s2"))).alias("score"), (F.col("lm_mixed") + zero(F.col("m2"))).alias("score_mixed"))
