@@ -75,8 +75,6 @@ def test_sequences_hold_their_pieces(docs):
 
 
 def test_local_search_empties_bins():
-    # Best fit in falling order needs four bins for these, three do.
-    lengths, capacity = [6, 5, 5, 4, 3, 3, 2, 2], 10
     rng = random.Random(7)
     better = 0
     for _ in range(300):
@@ -89,7 +87,7 @@ def test_local_search_empties_bins():
         better += len(last) < len(first)
     start = [[0, 1], [2, 3], [4, 5]]  # 60 + 30, 50 + 30, 20 + 10: fits in two
     assert len(packing.local_search(start, [60, 30, 50, 30, 20, 10], 100)) == 2
-    assert better >= 0 and capacity == 10
+    assert better > 0  # bins were emptied in some of them
 
 
 def test_local_search_ends_at_the_bound_or_without_an_exchange():
@@ -290,6 +288,26 @@ def test_warc_copies_edges_and_nested_rows(spark):
     assert warc.page_digest(warc.assemble(warc.read_records(warc.write(pages.where("false"))))).count() == 0
 
 
+def test_warc_thousands_of_copies(spark):
+    """A third of all pages share a payload; responses meet no join."""
+    same = "<p>same</p>" * 100
+    pages = spark.range(9000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h/"), F.col("id")).alias("url"), F.when(
+        F.col("id") % 3 == 0, F.lit(same)).otherwise(F.concat(F.repeat(F.lit("x"), 1100), (F.col("id") % 7000).cast("string"))).alias("html"))
+    captures = warc.assemble(warc.read_records(warc.write(pages), with_payload=False))
+    digest = warc.page_digest(captures)
+    plan = digest._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin") == 1 and "LeftOuter" in plan and "Union" in plan
+    want = {}
+    for i in range(9000):
+        key = same if i % 3 == 0 else i % 7000
+        want[key] = max(want.get(key, 0), i)
+    keys = {i: same if i % 3 == 0 else i % 7000 for i in range(9000)}
+    got = {r["page_id"]: (r["record_type"], r["refers_to"], r["payload_bytes"]) for r in digest.collect()}
+    size = lambda k: len(same) if k == same else 1100 + len(str(k))
+    assert got == {i: ("response", None, size(k)) if want[k] == i else ("revisit", want[k], size(k)) for i, k in keys.items()}
+    assert sum(v[0] == "revisit" for v in got.values()) > 3000
+
+
 # -- near-dedup --------------------------------------------------------------
 
 def brute_fingerprint(text):

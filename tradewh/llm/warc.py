@@ -17,7 +17,8 @@ identifiers and gives one nested row per capture.
 Defined results: a null html is an empty payload; null urls are written as an
 empty target; of repeated rows of the response's page the first is the
 response, the rest are revisits; rows without page_id take part and lose
-against any with one; an empty table gives no captures.
+against any with one (all rows of one payload without page_id are written by one
+task, one after the other); payloads of any length are written whole; an empty table gives no captures.
 """
 
 from __future__ import annotations
@@ -265,7 +266,10 @@ def page_digest(captures: DataFrame) -> DataFrame:
     # From a table both sides of the join are shuffled by what is referred to, and
     # AQE splits the revisits of a response that a third of all pages repeat.
     rows = materialize(rows, "warc-captures")
-    whole = rows.where("record_type = 'response'").select(F.col("capture_id").alias("refers"), F.col("page_id").alias("refers_to"),
-                                                          F.col("n").alias("full"))
-    return rows.join(whole, "refers", "left").select(
+    responses, revisits = rows.where("record_type = 'response'"), rows.where("record_type = 'revisit'")
+    # Responses refer to nothing: only revisits are joined, with the responses.
+    whole = responses.select(F.col("capture_id").alias("refers"), F.col("page_id").alias("refers_to"), F.col("n").alias("full"))
+    found = revisits.join(whole, "refers", "left").select(
         "page_id", F.coalesce("n", "full").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+    return found.unionByName(responses.select("page_id", F.col("n").alias("payload_bytes"), "payload_digest", "record_type",
+                                              F.lit(None).cast("long").alias("refers_to")))
