@@ -40,6 +40,10 @@ def test_licence_base_equals_brute_force(documents, docs):
     assert plain(got) == plain(want)
 
 
+def test_licences_of_an_empty_table(no_docs):
+    assert licenses.scan_licenses(no_docs).collect() == []
+
+
 def test_automaton_matching_statistics_equal_brute_force():
     rng = random.Random(5)
     for _ in range(200):
@@ -229,6 +233,10 @@ def test_toxicity_spans_and_edges(spark, docs, no_docs):
     assert all(r["score"] == 0 for r in edge if r["doc_id"] in (2, 3, 6))
     assert toxicity.score_toxicity(no_docs, model).count() == 0
     assert toxicity.keep_clean(docs, model).columns == docs.columns and toxicity.keep_clean(docs, model).count() == len(TEXTS)
+    # Labels of absent documents don't use up the sample.
+    absent = labels.unionByName(spark.range(10_000, 14_000).select("id", (F.col("id") % 2).cast("int")).toDF("doc_id", "toxic"))
+    few = toxicity.fit_toxicity(train, absent, fit_docs=100)
+    assert toxicity.score_toxicity(train.where("doc_id < 200"), few).where("predicted = 1").count() == 40
     none = toxicity.fit_toxicity(train, labels.where("false"))
     assert all(r["score"] < 1e-6 for r in toxicity.score_toxicity(train, none).collect())
 

@@ -15,7 +15,11 @@ by the same parameters. Scoring is one scan with one Arrow pass: no shuffle.
 
 Defined results: null and empty texts have no tokens and score 0; without a
 labelled document of each class every text scores 0; repeated label rows count
-once (toxic if any says so); label rows without doc_id or label are ignored.
+once (toxic if any says so); label rows without doc_id, label or document are
+ignored; of several texts with one doc_id the least is fitted to, all are scored;
+texts of any length are scored whole, in sequences of ``SEQUENCE`` words at most;
+of like hashes the smaller doc_id is sampled; repeated rows score alike; an empty
+table gives no rows; other columns are ignored or passed through.
 """
 
 from __future__ import annotations
@@ -205,6 +209,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, f
     """The model, fitted on a bounded sample of the labelled documents."""
     labels = pick(labels, doc_id="long", toxic="int").dropna().groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     docs = pick(docs, doc_id="long", text="string").where(F.length("text") <= fit_chars)
+    # Labels of documents that aren't there (any more) take no place in the sample.
+    labels = labels.join(docs.select("doc_id").dropna(), "doc_id", "left_semi")
     labels = labels.withColumn("toxic", (F.col("toxic") != 0).cast("int"))
     sizes = {r["toxic"]: r["count"] for r in labels.groupBy("toxic").count().collect()}
     ids = None
@@ -215,7 +221,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, f
         some = some.orderBy(place, "doc_id").limit(fit_docs)
         ids = some if ids is None else ids.unionByName(some)
     # At most 2 x fit_docs rows of two numbers, so the broadcast is bounded.
-    sample = docs.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
+    sample = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("doc_id")
