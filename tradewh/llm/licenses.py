@@ -17,7 +17,9 @@ Base phrases are templates as well: a phrase stands where the state's suffix
 chain holds it, so every place counts, not only right-maximal ones.
 
 One scan, one Arrow pass, no shuffle. Defined results: null and empty texts
-have no words, no labels and score 0; each repeated row is scanned alike.
+have no words, no labels and score 0; texts of any length are scanned whole; each
+repeated row is scanned alike; labels of equal cover are all given; an empty table
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

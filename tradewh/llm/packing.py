@@ -15,7 +15,8 @@
    next to nothing, and shards grow in number, not in size.
 
 Defined results: a null or empty text is one piece, the end id alone; repeated
-rows and rows without doc_id are packed like any other; no rows, no sequences.
+rows and rows without doc_id are packed like any other; no rows, no sequences;
+like bins are taken in their order; other columns are ignored.
 """
 
 from __future__ import annotations

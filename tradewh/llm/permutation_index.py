@@ -22,7 +22,8 @@ place or two among them.
 Defined results: vectors that are null, zero or hold null or non-finite
 components take no part, nor do rows without an id or of another length than
 most vectors have; a repeated id counts once (its smallest vector); fewer
-candidates than asked for are all returned; no rows, no results.
+candidates than asked for are all returned; like scores are ordered by the
+smaller id; no rows, no results; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ The work is per row, so the plan is one scan and one Arrow pass: no shuffle.
 
 Defined results: a null text counts as a text without words (rejected: too
 short); blank lines are neither judged nor removed; a repeated row is judged
-like any other; other columns of the table are ignored or passed through.
+like any other; texts of any length are judged whole; an empty table gives no
+rows; other columns of the table are ignored or passed through.
 """
 
 from __future__ import annotations

@@ -18,7 +18,14 @@
 
 Defined results: null and empty texts have fingerprint zero, which links like
 any other; repeated rows stay repeated; a row without doc_id takes part in
-links but cannot name a component unless none of it has an id (then null).
+links but cannot name a component unless none of it has an id (then null);
+texts of any length are hashed whole; of rows that could stay the smallest doc_id
+stays, then the smallest text hash; an empty table gives no rows; other columns are
+ignored or passed through.
+
+What the trees do: blocks bring the pairs together (most groups hold one or two
+fingerprints), so trees mainly verify there; they search where blocks are
+crowded.
 """
 
 from __future__ import annotations
