@@ -4,6 +4,11 @@ Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor
 kept; its result is written as Parquet and read again as the next one's docs.
 The first three return the kept rows with the columns they came with; the last
 returns one row per packed piece.
+
+Defined results: null and empty texts are too short for the quality rules and go
+there; texts of any length are taken whole; rows without doc_id pass like others;
+of repeated rows one stays; an empty table gives no pieces; columns of any name
+pass through the first three stages.
 """
 
 from __future__ import annotations
