@@ -72,8 +72,8 @@ def test_same_rows_as_one_task(spark, tmp_path, small_splits, sep, end):
     got = same_rows(spark, f"{tmp_path}/*.csv", sep)
     assert len(got) == 301
     lines = _lines(spark, f"{tmp_path}/*.csv", "UTF-8")
-    begins, size = split_starts(lines, sep)
-    assert len(begins) > 10 and size == 700 and lines.rdd.getNumPartitions() > 100
+    begins, size, files = split_starts(lines, sep)
+    assert len(begins) > 10 and {f for f, _ in begins} == set(files) and size == 700 and lines.rdd.getNumPartitions() > 100
     assert read_split_csv(spark, f"{tmp_path}/*.csv", sep, schema=SCHEMA).rdd.getNumPartitions() > 100
 
 
@@ -84,6 +84,11 @@ def test_a_field_over_many_splits_and_blank_lines(spark, tmp_path, small_splits)
     assert [r[0] for r in same_rows(spark, f"{tmp_path}/*.csv")] == ["1", "2", "3", "4", "5"]
 
 
+def test_a_field_that_is_never_closed_isn_t_lost(spark, tmp_path, small_splits):
+    (tmp_path / "a.csv").write_text("id,Text A,b/c\n1,2,3\n4,5,\"open\nto the end")
+    assert [r[0] for r in same_rows(spark, f"{tmp_path}/*.csv")] == ["1", "4"]
+
+
 def test_headers_are_checked_and_missing_files_named(spark, tmp_path, small_splits):
     (tmp_path / "a.csv").write_text("id,Other,b/c\n1,2,3\n")
     with pytest.raises(Exception, match="does not conform"):
