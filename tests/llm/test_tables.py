@@ -144,6 +144,11 @@ def test_arrow_files_of_edges(docs, no_docs):
     assert arrow_files.read_documents(arrow_files.write(no_docs)).count() == 0
 
 
+def test_ids_that_do_not_fit_are_an_error(docs):
+    with pytest.raises(Exception, match="don't fit uint8"):
+        arrow_files.write(docs, id_type=pa.uint8()).collect()
+
+
 def test_arrow_sequences_are_mapped_in_place(documents):
     manifest = arrow_files.write(documents, length=64)
     part = manifest.orderBy("part").first()

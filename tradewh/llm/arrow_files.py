@@ -101,12 +101,16 @@ def write(docs: DataFrame, folder: str | None = None, vocabulary: str = VOCABULA
           id_type: pa.DataType = pa.uint16(), pad_id: int = 0) -> DataFrame:
     """Write the data set; returns its manifest: part, name, n_docs, n_ids, first (ids before it), folder.
 
-    ``id_type`` must hold every id of the vocabulary (16 bits do for 49,408).
+    ``id_type`` must hold every id of the vocabulary (16 bits do for 49,408); one
+    that doesn't is an error before anything is written.
     """
     folder = folder or shared_folder(docs.sparkSession, "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, out, part = encoder(vocabulary).encode, None, TaskContext.get().partitionId()
+        coder, out, part = encoder(vocabulary), None, TaskContext.get().partitionId()
+        encode, largest = coder.encode, max(coder.library.get_vocab_size() - 1, end_id, pad_id)
+        if largest > np.iinfo(id_type.to_pandas_dtype()).max:
+            raise ValueError(f"ids up to {largest} don't fit {id_type}")
         name = f"part-{part:06d}-{uuid.uuid4().hex[:12]}"
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
