@@ -207,7 +207,32 @@ def test_sequences_cover_every_word_once():
         br, doc = rng.random(size) < rng.choice([0.0, 0.05, 0.6]), np.sort(rng.integers(0, 3, size))
         kept, starts, lengths = toxicity.sequences(br, doc)
         at = np.concatenate([np.arange(s, s + n) for s, n in zip(starts, lengths)]) if len(kept) else kept
-        assert np.array_equal(kept, np.flatnonzero(~br)) and np.array_equal(at, np.arange(len(kept))) and (lengths <= toxicity.SEQUENCE).all()
+        assert np.array_equal(kept, np.flatnonzero(~br)) and np.array_equal(at, np.arange(len(kept)))
+        # Sequences end where a break or another document follows, and nowhere else.
+        ends = kept[(starts + lengths - 1)] if len(kept) else kept
+        assert all(e + 1 == size or br[e + 1] or doc[e + 1] != doc[e] for e in ends)
+
+
+@pytest.mark.parametrize("scale", [1.0, 30.0])
+def test_long_sequences_are_one_chain(scale):
+    rng = np.random.default_rng(5)
+    lengths = np.array([1, 64, 65, 300, 128, 2, 129, 1000, 63])
+    starts = np.cumsum(lengths) - lengths
+    emit, trans, start = rng.normal(size=lengths.sum()) * scale, rng.normal(size=(2, 2)) * 2, -1.5
+    fwd, bwd = toxicity.forward_backward(emit, starts, lengths, trans, start)
+    for at, n in zip(starts, lengths):
+        e = emit[at:at + n]
+        f = [np.array([0.0, e[0] + start])]
+        for x in e[1:]:
+            f.append(np.logaddexp(f[-1][0] + trans[0], f[-1][1] + trans[1]) + np.array([0.0, x]))
+        b = [np.zeros(2)]
+        for x in e[:0:-1]:
+            z = b[-1] + np.array([0.0, x])
+            b.append(np.logaddexp(trans[:, 0] + z[0], trans[:, 1] + z[1]))
+        want = np.array([x[1] - x[0] + y[1] - y[0] for x, y in zip(f, b[::-1])])
+        got = (fwd + bwd)[at:at + n]
+        p = lambda v: 1 / (1 + np.exp(-np.clip(v, -40, 40)))
+        assert np.allclose(p(got), p(want), rtol=1e-9, atol=1e-12)
 
 
 def test_toxicity_held_out_accuracy(spark):

@@ -17,7 +17,7 @@ Defined results: null and empty texts have no tokens and score 0; without a
 labelled document of each class every text scores 0; repeated label rows count
 once (toxic if any says so); label rows without doc_id, label or document are
 ignored; of several texts with one doc_id the least is fitted to, all are scored;
-texts of any length are scored whole, in sequences of ``SEQUENCE`` words at most;
+texts and sentences of any length are scored whole;
 of like hashes the smaller doc_id is sampled; repeated rows score alike; an empty
 table gives no rows; other columns are ignored or passed through.
 """
@@ -41,9 +41,10 @@ FIT_DOCS = 1500
 FIT_CHARS = 20_000
 #: Letters of the stems that stand beside a word.
 STEMS = range(4, 9)
-#: A sequence ends at these marks, or after so many words.
-SEQUENCE = 64
+#: Words of a sequence that are stepped through one by one; longer ones in blocks.
+BLOCK = 64
 TOKEN = re.compile(r"\w+|[.!?\n]")
+#: A sequence ends at these marks.
 _BREAKS = frozenset(".!?\n")
 
 
@@ -64,46 +65,77 @@ def _odds(v: np.ndarray, a: float, b: float, c: float, d: float) -> np.ndarray:
     return np.log((a + b * x) / (c + d * x))
 
 
+def _forward(emit: np.ndarray, starts: np.ndarray, lengths: np.ndarray, t: np.ndarray, start: float) -> np.ndarray:
+    """Forward log-odds of each token.
+
+    All blocks move in step: step k handles the k-th token of every block that
+    has one. What a whole block does to the odds x it is entered with is a
+    fraction (p x + q) / (r x + s), so the blocks of a long sequence are entered
+    with the odds that the fractions of those before them give.
+    """
+    out = np.empty(len(emit))
+    odds = lambda v: _odds(v, t[0, 1], t[1, 1], t[0, 0], t[1, 0])
+
+    def within(first: np.ndarray, size: np.ndarray, entry: np.ndarray) -> None:
+        order, active = _columns(size)
+        first = first[order]
+        out[first] = emit[first] + entry[order]
+        for k in range(1, len(active)):
+            at = first[:active[k]] + k
+            out[at] = emit[at] + odds(out[at - 1])
+
+    within(starts, np.minimum(lengths, BLOCK), np.full(len(starts), float(start)))
+    later = -(-lengths // BLOCK) - 1  # blocks after the first
+    if not later.any():
+        return out
+    order, active = _columns(later)
+    order = order[:active[0]]
+    later, begin, size = later[order], starts[order], lengths[order]
+    base = np.cumsum(later) - later
+    nth = np.arange(later.sum()) - np.repeat(base, later) + 1
+    first = np.repeat(begin, later) + nth * BLOCK
+    left = np.minimum(BLOCK, np.repeat(begin + size, later) - first)
+    p, q, r, s = np.ones(len(first)), np.zeros(len(first)), np.zeros(len(first)), np.ones(len(first))
+    whole = np.flatnonzero(left == BLOCK)
+    for k in range(BLOCK if len(whole) else 0):
+        e = np.exp(np.clip(emit[first[whole] + k], -40, 40))
+        a, b, c, d = p[whole], q[whole], r[whole], s[whole]
+        four = np.stack([e * (t[1, 1] * a + t[0, 1] * c), e * (t[1, 1] * b + t[0, 1] * d), t[1, 0] * a + t[0, 0] * c, t[1, 0] * b + t[0, 0] * d])
+        p[whole], q[whole], r[whole], s[whole] = np.maximum(four / four.max(0), 1e-280)
+    entry, v = np.empty(len(first)), out[begin + BLOCK - 1]
+    for j, n in enumerate(active):
+        at = base[:n] + j
+        entry[at] = odds(v[:n])
+        x = np.exp(np.clip(v[:n], -40, 40))
+        v = np.log((p[at] * x + q[at]) / (r[at] * x + s[at]))
+    within(first, left, entry)
+    return out
+
+
 def forward_backward(emit: np.ndarray, starts: np.ndarray, lengths: np.ndarray, trans: np.ndarray,
                      start: float) -> tuple[np.ndarray, np.ndarray]:
     """Forward and backward log-odds of each token; sequences lie at ``starts``.
 
-    ``trans[a, b]`` is the potential of going from state a to b. All sequences
-    move in step: step t handles the t-th token of every sequence that has one.
+    ``trans[a, b]`` is the potential of going from state a to b. Backward is
+    forward from the other end, over the transposed transitions.
     """
+    if not len(starts):
+        return np.empty(len(emit)), np.zeros(len(emit))
     t = np.exp(trans)
-    fwd, bwd = np.empty(len(emit)), np.zeros(len(emit))
-    order, active = _columns(lengths)
-    first, size = starts[order], lengths[order]
-    if not active:
-        return fwd, bwd
-    fwd[first] = emit[first] + start
-    for k in range(1, len(active)):
-        at = first[:active[k]] + k
-        fwd[at] = emit[at] + _odds(fwd[at - 1], t[0, 1], t[1, 1], t[0, 0], t[1, 0])
-    for k in range(len(active) - 2, -1, -1):
-        at = first[:active[k + 1]] + k
-        bwd[at] = _odds(emit[at + 1] + bwd[at + 1], t[1, 0], t[1, 1], t[0, 0], t[0, 1])
-    return fwd, bwd
+    back = _forward(emit[::-1], len(emit) - starts - lengths, lengths, t.T, 0.0)[::-1]
+    return _forward(emit, starts, lengths, t, start), back - emit
 
 
 def sequences(is_break: np.ndarray, doc_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(kept, starts, lengths): word positions, and the runs of words between
-    breaks within one document, cut after ``SEQUENCE`` words."""
+    breaks within one document."""
     words = np.flatnonzero(~is_break)
     if not len(words):
         return words, words, words
     new = np.ones(len(words), bool)
     new[1:] = (np.diff(words) > 1) | (np.diff(doc_of[words]) != 0)
     begin = np.flatnonzero(new)
-    size = np.diff(np.append(begin, len(words)))
-    if size.max() > SEQUENCE:
-        parts = -(-size // SEQUENCE)
-        nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        end = np.repeat(begin + size, parts)
-        begin = np.repeat(begin, parts) + nth * SEQUENCE
-        size = np.minimum(SEQUENCE, end - begin)
-    return words, begin, size
+    return words, begin, np.diff(np.append(begin, len(words)))
 
 
 # -- features and fit --------------------------------------------------------
