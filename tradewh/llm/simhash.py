@@ -194,16 +194,16 @@ def links(distinct: DataFrame, radius: int = RADIUS, tree: int = TREE) -> DataFr
 
 # -- components --------------------------------------------------------------
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root): for every node of ``edges(a, b)`` the smallest node it reaches.
 
     Each round lets every node point its larger neighbours, then its smaller
-    ones, at the smallest; the rounds needed grow with the logarithm of the
-    longest chain. Every round is a written table.
+    ones, at the smallest, until nothing changes; the rounds needed grow with the
+    logarithm of the longest chain. Every round is a written table.
     """
     now = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc")
     state = None
-    for _ in range(rounds):
+    while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -217,8 +217,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if got == state:
             break
         state = got
-    else:
-        raise RuntimeError(f"components did not settle within {rounds} rounds")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
