@@ -192,13 +192,13 @@ def test_recall(spark, sf):
     assert recall >= 0.9
 
 
-def recall_of(spark, vectors, queries, k=20):
+def recall_of(spark, vectors, queries, k=20, **options):
     """Recall of the index on (id, vector) rows, for a set of queries."""
     x = np.array([v for _, v in vectors])
     ids = np.array([i for i, _ in vectors])
     table = spark.createDataFrame([(int(i), [float(c) for c in v]) for i, v in vectors], "vec_id long, embedding array<double>")
     got = {}
-    for r in permutation_index.nearest(table, F.col("id").isin(queries), k=k).collect():
+    for r in permutation_index.nearest(table, F.col("id").isin(queries), k=k, **options).collect():
         got.setdefault(r["query_id"], set()).add(r["vec_id"])
     assert set(got) == set(queries)
     recalls = []
@@ -229,6 +229,38 @@ def test_recall_with_unequal_lengths(spark, sd):
     assert recall_of(spark, scaled, [i for i, _ in rows[::20]]) >= 0.9
 
 
+@pytest.fixture()
+def visited(monkeypatch):
+    """Numbers of cells that queries were sent to, and of all cells."""
+    seen, measure = [], permutation_index.cells_needed
+
+    def record(placed, queries, near_cells, n_cells, *rest):
+        seen.append((measure(placed, queries, near_cells, n_cells, *rest), n_cells))
+        return seen[-1][0]
+
+    monkeypatch.setattr(permutation_index, "cells_needed", record)
+    return seen
+
+
+def test_clustered_vectors_need_a_few_cells(spark, visited):
+    rng = np.random.default_rng(6)
+    centres = rng.standard_normal((40, 48)) * 2
+    rows = [(i, centres[i % 40] + 0.5 * rng.standard_normal(48)) for i in range(4000)]
+    assert recall_of(spark, rows, list(range(0, 4000, 20)), cell=100) >= 0.9
+    assert visited[0][1] == 40 and visited[0][0] <= 8
+
+
+@pytest.mark.parametrize("copies", [0, 1000])
+def test_cells_without_structure(spark, visited, copies):
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").collect()]
+    first, one = max(i for i, _ in rows) + 1, np.array(rows[7][1], float)
+    rng = np.random.default_rng(7)
+    near = [(first + j, one + 0.01 * rng.standard_normal(len(one))) for j in range(copies)]
+    # The hot cell is cut into parts, and queries into blocks.
+    assert recall_of(spark, rows + near, [i for i, _ in rows[::20]], cell=100, shard=1 << 14, block=1 << 12) >= 0.9
+    assert 1 < visited[0][0] <= visited[0][1]
+
+
 def test_pivots_are_apart():
     rng = np.random.default_rng(3)
     x = rng.standard_normal((60, 8))

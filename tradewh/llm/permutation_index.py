@@ -1,23 +1,30 @@
 """Approximate nearest neighbours by a permutation index.
 
-Every vector is represented by its ``prefix`` nearest pivots, nearest first.
-Vectors are dealt evenly into shards of about ``SHARD`` and, in each shard,
-posted in one inverted file per pivot with the pivot's place in their order. A
-query adds up, over the files of its own pivots, the footrule distance between
-the two orders (a pivot missing from one counts as last); the nearest ``share``
-of the shard by that distance is ranked again by the inner product of the
-original vectors, with all rows within ``SLACK`` of the last one's distance, so
-that near copies, whose orders differ by chance, come in together or not at all.
-Orders tell directions only: where lengths differ, rows are ranked by their
-length times the cosine that their distance stands for, which is read off a
-sample of the shard (``Cosines``). With equal lengths that is the distance's rank.
-Shards' best are merged by a window per query.
-
-Queries come in blocks of ``BLOCK``; a task holds one shard and one block, so
-its memory doesn't grow with either table. Pivots are ``PIVOTS`` of a bounded
-sample of distinct vectors (the first in the order of a hash of the vector),
-picked farthest first: groups of copies or near copies take no more than a
-place or two among them.
+Every vector is represented by its ``prefix`` nearest pivots, nearest first, and
+belongs to the cell of the nearest of the first pivots (as many as make cells of
+about ``CELL`` rows). A query goes to its nearest cells only. How many are needed
+is measured first: ``ASKED`` queries at most are compared with all rows, exactly,
+and the least number of cells is taken that holds ``TARGET`` of their neighbours
+(queries of one cell count as one, so a group of copies doesn't speak for the
+rest). So the work is below rows times queries as far as the vectors allow it:
+clustered ones need a few cells, those without any structure most of them.
+
+In a cell, rows are posted in one inverted file per pivot with the pivot's place
+in their order. A query adds up, over the files of its own pivots, the footrule
+distance between the two orders (a pivot missing from one counts as last); the
+nearest ``share`` of the cell by that distance is ranked again by the inner
+product of the original vectors, with all rows within ``SLACK`` of the last one's
+distance, so that near copies, whose orders differ by chance, come in together or
+not at all. Orders tell directions only: where lengths differ, rows are ranked by
+their length times the cosine that their distance stands for, which is read off
+a sample of the cell (``Cosines``). With equal lengths that is the distance's rank.
+Cells' best are merged by a window per query.
+
+A task holds one cell, or a part of ``SHARD`` values of a large one, and one block
+of its queries (``BLOCK`` values), so its memory doesn't grow with either table.
+Pivots are ``PIVOTS`` of a bounded sample of distinct vectors (the first in the
+order of a hash of the vector), picked farthest first: groups of copies or near
+copies take no more than a place or two among them.
 
 Defined results: vectors that are null, zero or hold null or non-finite
 components take no part, nor do rows without an id or of another length than
@@ -28,6 +35,8 @@ smaller id; no rows, no results; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -41,8 +50,14 @@ SHARE = 0.2
 SLACK = 0.02
 #: Distinct vectors a pivot is picked from.
 SAMPLE = 4
-SHARD = 8192
-BLOCK = 4096
+#: Rows of a cell, about.
+CELL = 2048
+#: Queries that are compared with all rows, and the part of their neighbours that the cells visited hold.
+ASKED = 256
+TARGET = 0.98
+#: Values (rows times their length) of rows and of queries in a task.
+SHARD = 1 << 20
+BLOCK = 1 << 19
 
 
 def valid_vectors(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -70,15 +85,17 @@ def spread_out(sample: np.ndarray, n: int) -> np.ndarray:
 
 
 class InvertedFiles:
-    """For each pivot the rows that have it among their nearest, and its place there."""
+    """For each pivot a file with the places it has in the rows' orders, counted from the end (0: not among them)."""
 
     def __init__(self, perm: np.ndarray, n_pivots: int):
         self.n, self.prefix = perm.shape
-        flat = perm.ravel()
-        by_pivot = np.argsort(flat, kind="stable")
-        self.rows = by_pivot // self.prefix
-        self.place = (by_pivot % self.prefix).astype(np.int32)
-        self.begin = np.searchsorted(flat[by_pivot], np.arange(n_pivots + 1))
+        kind = np.uint16 if self.prefix <= 256 else np.uint32
+        self.left = np.arange(self.prefix, 0, -1, kind)
+        # Parts of the rows, so that the files a query walks stay in the processor's cache.
+        self.files = []
+        for part in np.split(perm, range(2048, self.n, 2048)):
+            self.files.append(np.zeros((n_pivots, len(part)), kind))
+            self.files[-1][part, np.arange(len(part))[:, None]] = self.left
 
     def nearness(self, order: np.ndarray) -> np.ndarray:
         """A constant less half the footrule distance of each row to the order.
@@ -86,11 +103,8 @@ class InvertedFiles:
         With a missing pivot at place ``prefix``, the distance is a constant less
         2 (prefix - max(a, b)) for every pivot that both have, at places a and b.
         """
-        total = np.zeros(self.n, np.int32)
-        for a, p in enumerate(order.tolist()):
-            at = slice(self.begin[p], self.begin[p + 1])
-            total[self.rows[at]] += self.prefix - np.maximum(a, self.place[at])
-        return total
+        most = self.left[:, None]
+        return np.concatenate([np.minimum(files[order], most).sum(0, dtype=most.dtype) for files in self.files]).astype(np.int64)
 
 
 class Cosines:
@@ -142,8 +156,47 @@ def search_shard(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries:
     return out
 
 
+def _matrix(vectors: pd.Series) -> np.ndarray:
+    return np.stack(vectors.to_numpy()).astype(np.float64)
+
+
+def cells_needed(placed: DataFrame, queries: DataFrame, near_cells: Callable[[np.ndarray, int], np.ndarray], n_cells: int, k: int,
+                 asked: int, target: float) -> int:
+    """The least number of nearest cells that hold ``target`` of the true k
+    neighbours of some queries (those of the smallest hashes, ``asked`` at most)."""
+    some = queries.orderBy(F.xxhash64("v", "id"), "id").limit(asked).collect()
+    if not some:
+        return 1
+    shared = placed.sparkSession.sparkContext.broadcast((np.array([r["id"] for r in some]), np.array([r["v"] for r in some], np.float64)))
+
+    def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, q = shared.value
+        score, cell = np.full((len(q), k), -np.inf), np.zeros((len(q), k), np.int32)
+        for rows in batches:
+            if len(rows):
+                new = q @ _matrix(rows["v"]).T
+                new[ids[:, None] == rows["id"].to_numpy()] = -np.inf
+                score = np.hstack([score, new])
+                cell = np.hstack([cell, np.broadcast_to(rows["cell"].to_numpy(), new.shape)])
+                best = np.argpartition(-score, k - 1, axis=1)[:, :k]
+                score, cell = np.take_along_axis(score, best, 1), np.take_along_axis(cell, best, 1)
+        query, _ = at = np.nonzero(score > -np.inf)
+        yield pd.DataFrame({"query": query, "score": score[at], "cell": cell[at]})
+
+    found = placed.mapInPandas(exact, "query int, score double, cell int")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "cell")
+    # At most asked x k rows.
+    found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k).select("query", "cell").toPandas()
+    order = near_cells(shared.value[1], n_cells)
+    depth = np.argsort(order, axis=1)[found["query"], found["cell"]]
+    weight = 1 / np.bincount(order[:, 0], minlength=n_cells)[order[found["query"], 0]]
+    reached = np.cumsum(np.bincount(depth, weight, n_cells))
+    return int(np.argmax(reached >= target * reached[-1])) + 1 if len(found) else 1
+
+
 def nearest(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", n_pivots: int = PIVOTS,
-            prefix: int = PREFIX, share: float = SHARE, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
+            prefix: int = PREFIX, share: float = SHARE, shard: int = SHARD, block: int = BLOCK, cell: int = CELL, asked: int = ASKED,
+            target: float = TARGET) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k nearest found of each query.
 
     ``is_query`` is a condition on ``id``; candidates are all vectors but the query's own.
@@ -163,22 +216,46 @@ def nearest(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
     sample = rows.where(likely).select("v").distinct().orderBy(place, "v").limit(most).collect()
     pivots = spread_out(np.array([r["v"] for r in sample], np.float64), n_pivots)
     prefix = min(prefix, len(pivots))
-    shards = -(-dims["n"] // shard)
-    queries = rows.where(is_query)
-    blocks = max(1, -(-queries.count() // block))
-    deal = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    left = rows.withColumn("s", deal(shards)).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = queries.withColumn("b", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int")).withColumn(
-        "s", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    shared = table.sparkSession.sparkContext.broadcast(pivots)
+    spark, width = table.sparkSession, dims["d"]
+    shared = spark.sparkContext.broadcast(pivots)
+    n_cells = max(1, min(len(pivots), dims["n"] // cell))
+
+    def near_cells(x: np.ndarray, n: int) -> np.ndarray:
+        return orders(x, shared.value[:n_cells], n)
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            if len(rows):
+                yield rows.assign(cell=near_cells(_matrix(rows["v"]), 1)[:, 0])
+
+    placed = materialize(rows.mapInPandas(place, "id long, v array<double>, cell int"), "placed")
+    queries = placed.where(is_query).select("id", "v")
+    visit = 1 if n_cells == 1 else cells_needed(placed, queries, near_cells, n_cells, k, asked, target)
+
+    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            if len(rows):
+                yield rows.assign(cells=list(near_cells(_matrix(rows["v"]), visit)))
+
+    sent = queries.mapInPandas(route, "id long, v array<double>, cells array<int>").select("id", "v", F.explode("cells").alias("cell"))
+    sent = materialize(sent, "sent")
+    # A row per cell, so at most ``n_pivots``: parts of the cell's rows, and blocks of the queries sent to it.
+    parts = F.greatest(F.lit(1), F.ceil(F.col("n") * width / shard)).cast("int")
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("asked") * width / block)).cast("int")
+    sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).join(sent.groupBy("cell").agg(F.count(F.lit(1)).alias("asked")), "cell")
+    sizes = F.broadcast(materialize(sizes.select("cell", parts.alias("parts"), blocks.alias("blocks")), "cells"))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = placed.join(sizes, "cell").select("id", "v", "cell", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("s"), each("blocks").alias("b"))
+    right = sent.join(sizes, "cell").select(
+        "id", "v", "cell", each("parts").alias("s"), F.pmod(F.xxhash64("id", F.lit(1)), "blocks").cast("int").alias("b"))
 
     def run(vectors: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if not len(vectors) or not len(asked):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        found = search_shard(vectors["id"].to_numpy(), np.stack(vectors["v"].to_numpy()).astype(np.float64), asked["id"].to_numpy(),
-                             np.stack(asked["v"].to_numpy()).astype(np.float64), shared.value, k, prefix, share)
+        found = search_shard(vectors["id"].to_numpy(), _matrix(vectors["v"]), asked["id"].to_numpy(), _matrix(asked["v"]), shared.value,
+                             k, prefix, share)
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
-    found = left.groupBy("s", "b").cogroup(right.groupBy("s", "b")).applyInPandas(run, schema)
+    found = left.groupBy("cell", "s", "b").cogroup(right.groupBy("cell", "s", "b")).applyInPandas(run, schema)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
