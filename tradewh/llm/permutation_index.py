@@ -18,7 +18,8 @@ distance, so that near copies, whose orders differ by chance, come in together o
 not at all. Orders tell directions only: where lengths differ, rows are ranked by
 their length times the cosine that their distance stands for, which is read off
 a sample of the cell (``Cosines``). With equal lengths that is the distance's rank.
-Cells' best are merged by a window per query.
+The nearest cell is searched first; of the others, only rows that reach its k-th
+score leave the task. A window per query merges them.
 
 A task holds one cell, or a part of ``SHARD`` values of a large one, and one block
 of its queries (``BLOCK`` values), so its memory doesn't grow with either table.
@@ -128,8 +129,8 @@ class Cosines:
 
 
 def search_shard(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, pivots: np.ndarray,
-                 k: int, prefix: int, share: float) -> list[tuple[int, int, float]]:
-    """(query, id, score) of the best k in one shard for each query."""
+                 k: int, prefix: int, share: float, floors: np.ndarray | None = None) -> list[tuple[int, int, float]]:
+    """(query, id, score) of the best k in one shard for each query, of those that reach its floor."""
     order = np.argsort(ids)
     ids, x = ids[order], x[order]
     files = InvertedFiles(orders(x, pivots, prefix), len(pivots))
@@ -138,7 +139,8 @@ def search_shard(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries:
     q_orders, length = orders(queries, pivots, prefix), np.linalg.norm(x, axis=1)
     cosines = Cosines(files, x, queries, q_orders).of
     out = []
-    for qid, q, perm in zip(query_ids.tolist(), queries, q_orders):
+    floors = np.full(len(queries), -np.inf) if floors is None else floors
+    for qid, q, perm, floor in zip(query_ids.tolist(), queries, q_orders, floors.tolist()):
         near = files.nearness(perm)
         own = np.searchsorted(ids, qid)
         guess = cosines[near] * length
@@ -148,6 +150,7 @@ def search_shard(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries:
         least = np.partition(guess, len(guess) - keep)[len(guess) - keep]
         some = np.flatnonzero((upper >= least) & (upper > -np.inf))
         score = x[some] @ q
+        some, score = some[score >= floor], score[score >= floor]
         if len(some) > k:  # all that tie with the k-th stay, for the ids to decide
             best = np.flatnonzero(score >= np.partition(score, len(score) - k)[len(score) - k])
             some, score = some[best], score[best]
@@ -237,25 +240,37 @@ def nearest(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
             if len(rows):
                 yield rows.assign(cells=list(near_cells(_matrix(rows["v"]), visit)))
 
-    sent = queries.mapInPandas(route, "id long, v array<double>, cells array<int>").select("id", "v", F.explode("cells").alias("cell"))
-    sent = materialize(sent, "sent")
-    # A row per cell, so at most ``n_pivots``: parts of the cell's rows, and blocks of the queries sent to it.
-    parts = F.greatest(F.lit(1), F.ceil(F.col("n") * width / shard)).cast("int")
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("asked") * width / block)).cast("int")
-    sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).join(sent.groupBy("cell").agg(F.count(F.lit(1)).alias("asked")), "cell")
-    sizes = F.broadcast(materialize(sizes.select("cell", parts.alias("parts"), blocks.alias("blocks")), "cells"))
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = placed.join(sizes, "cell").select("id", "v", "cell", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("s"), each("blocks").alias("b"))
-    right = sent.join(sizes, "cell").select(
-        "id", "v", "cell", each("parts").alias("s"), F.pmod(F.xxhash64("id", F.lit(1)), "blocks").cast("int").alias("b"))
+    routed = materialize(queries.mapInPandas(route, "id long, v array<double>, cells array<int>"), "routed")
 
     def run(vectors: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if not len(vectors) or not len(asked):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         found = search_shard(vectors["id"].to_numpy(), _matrix(vectors["v"]), asked["id"].to_numpy(), _matrix(asked["v"]), shared.value,
-                             k, prefix, share)
+                             k, prefix, share, asked["floor"].to_numpy())
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
-    found = left.groupBy("cell", "s", "b").cogroup(right.groupBy("cell", "s", "b")).applyInPandas(run, schema)
+    def search(sent: DataFrame) -> DataFrame:
+        """Each (id, v, floor, cell) against the rows of its cell."""
+        # A row per cell, so at most ``n_pivots``: parts of the cell's rows, and blocks of the queries sent to it.
+        parts = F.greatest(F.lit(1), F.ceil(F.col("n") * width / shard)).cast("int")
+        blocks = F.greatest(F.lit(1), F.ceil(F.col("asked") * width / block)).cast("int")
+        sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).join(sent.groupBy("cell").agg(F.count(F.lit(1)).alias("asked")), "cell")
+        sizes = F.broadcast(materialize(sizes.select("cell", parts.alias("parts"), blocks.alias("blocks")), "cells"))
+        each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        left = placed.join(sizes, "cell").select("id", "v", "cell", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("s"), each("blocks").alias("b"))
+        right = sent.join(sizes, "cell").select(
+            "id", "v", "floor", "cell", each("parts").alias("s"), F.pmod(F.xxhash64("id", F.lit(1)), "blocks").cast("int").alias("b"))
+        return left.groupBy("cell", "s", "b").cogroup(right.groupBy("cell", "s", "b")).applyInPandas(run, schema)
+
+    # The nearest cell first: rows of the others count if they reach its k-th score.
+    everything = F.lit(float("-inf"))
+    first = materialize(search(routed.select("id", "v", everything.alias("floor"), F.col("cells")[0].alias("cell"))), "first")
+    found = first
+    if visit > 1:
+        place = Window.partitionBy("query_id").orderBy(F.desc("score"))
+        floors = first.withColumn("n", F.row_number().over(place)).where(F.col("n") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
+        others = routed.join(floors, "id", "left").select("id", "v", F.coalesce("floor", everything).alias("floor"),
+                                                          F.explode(F.slice("cells", 2, visit - 1)).alias("cell"))
+        found = first.unionByName(search(others))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
