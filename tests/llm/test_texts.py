@@ -370,6 +370,20 @@ def test_lm_words_and_end_add_up_and_edges(spark, docs, no_docs):
     assert len(nothing) == len(TEXTS) and all(r["n_known"] == 0 and r["base_score"] == 0 and math.isfinite(r["score"]) for r in nothing)
 
 
+def test_lm_query_score_learns_the_corpus(spark, tmp_path):
+    """Held-out scores are near the add-one base, mostly of words seen in training."""
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(400)]
+    weights = [1 / k for k in range(1, 401)]
+    rows = [(i, " ".join(rng.choices(words, weights, k=60))) for i in range(150)] + [(1000, None), (1001, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op8_lattice_lm(spark, str(tmp_path)).collect()
+    assert sorted(r["doc_id"] for r in got) == [i for i, _ in rows]
+    assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in got)
+    held = [r for r in got if r["held_out"] and r["n_tokens"] > 1]
+    assert held and all(r["score"] > 1.15 * r["base_score"] for r in held)
+
+
 def test_lm_prefers_known_prose(spark):
     words = "alpha beta gamma delta epsilon".split()
     rng = random.Random(2)

@@ -43,8 +43,9 @@ def op7_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = lattice_lm.score_documents(table(spark, sf_dir, "documents"), ~in_fold("doc_id", 7, 2))
-    return scored.withColumn("learned", ~F.col("learned")).withColumnRenamed("learned", "held_out")
+    scored = lattice_lm.score_documents(table(spark, sf_dir, "documents"), ~in_fold("doc_id", 7, 2), rounds=2)
+    return scored.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
+                         F.col("score_mixed").alias("score"), F.col("score").alias("score_lattice"))
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
