@@ -46,6 +46,27 @@ def test_fact_load_looks_each_dimension_up_once(wh):
     assert p.count("BroadcastHashJoin") + p.count("SortMergeJoin") == 7
 
 
+def test_ids_of_the_fact_need_no_shuffle_of_staging(wh):
+    """The offsets' size is known when the join is planned: they are broadcast like the dimensions."""
+    p = plan(build_fact(wh.table(STAGING), wh.dims))
+    assert p.count("BroadcastHashJoin") == 7 and "Exchange hashpartitioning" not in p
+
+
+def test_items_meet_customers_through_their_orders(spark):
+    """Customers are joined to the orders, not to the far more items."""
+    from tradewh.sources.fixtures import raw_items
+
+    lines = raw_items(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda ln: len(ln) - len(ln.lstrip(" :+-"))
+    at = next(k for k, ln in enumerate(lines) if "Join Inner" in ln and "o_custkey" in ln)
+    below = []
+    for ln in lines[at + 1:]:
+        if depth(ln) <= depth(lines[at]):
+            break
+        below.append(ln)
+    assert any("c_custkey" in ln for ln in below) and not any("l_orderkey" in ln for ln in below)
+
+
 def test_fact_keeps_every_row_when_lookups_shuffle(spark, wh):
     """Joins as they run past any broadcast limit, default adaptive settings."""
     was = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
