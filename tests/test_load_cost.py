@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tradewh.operators.codegen import HOTSPOT, LIMIT, compiled_methods
+from tradewh.operators.codegen import FIELDS, HOTSPOT, LIMIT, NARROW, compiled_methods
 from tradewh.plans import dims, warehouse
 from tradewh.schemas import RAW_COLUMNS
 
@@ -56,3 +56,12 @@ def test_dimensions_do_not_multiply_staging_rows(spark, monkeypatch):
         "dim_fecha": 1, "dim_aduana": 2, "dim_producto": 1, "dim_pais_origen": 1, "dim_pais_destino": 1, "dim_operacion": 0, "dim_regimen": 1}
     assert built["dim_producto"].first().asDict() == {
         "producto_key": 1, "rubro": "r2", "capitulo": "c", "partida": None, "posicion": "P", "descripcion_arancelaria": "d"}
+
+
+def test_wide_projections_leave_whole_stage_code(spark):
+    wide, narrow = ([F.concat(F.lit(f"{i} "), F.col("id").cast("string")).alias(f"c{i}") for i in range(n)] for n in (len(RAW_COLUMNS), NARROW))
+    top = lambda cols: spark.range(9).select(*cols)._jdf.queryExecution().executedPlan().toString().lstrip()
+    before = spark.conf.get(FIELDS)
+    with compiled_methods(spark):
+        assert top(wide).startswith("Project") and top(narrow).startswith("*(1) Project")
+    assert spark.conf.get(FIELDS) == before
