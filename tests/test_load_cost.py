@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from tradewh.functions.numeric import parse_decimal, parse_money, to_money
+from tradewh.functions.text import SPACE_SEPARATORS, norm_text, unicode_trim
 from tradewh.operators.codegen import FIELDS, HOTSPOT, LIMIT, NARROW, compiled_methods
 from tradewh.plans import dims, warehouse
 from tradewh.schemas import RAW_COLUMNS
@@ -65,3 +67,18 @@ def test_wide_projections_leave_whole_stage_code(spark):
     with compiled_methods(spark):
         assert top(wide).startswith("Project") and top(narrow).startswith("*(1) Project")
     assert spark.conf.get(FIELDS) == before
+
+
+def test_texts_that_need_no_trim_are_not_trimmed(spark):
+    ends = ["", "!", "~", "\x7f", "\u0080", "\x1f", "\t", "\n", "Ñ", *SPACE_SEPARATORS]
+    texts = [None, *{a + m + b for a in ends for b in ends for m in ("", "ab", "a b")}]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    assert df.where(~norm_text("s").eqNullSafe(F.upper(unicode_trim("s")))).count() == 0
+    plan = df.select(norm_text("s").alias("s"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN" in plan and plan.count("trim(") == 1
+
+
+def test_money_of_odd_texts(spark):
+    texts = ["1,005", "1.005", "1.00", "1.", ".", ",5", "1.2.3", "1e2", "1E-3", "1e20", "123456789012,34", "1234567890123,456", "", " 7,5 ", "7300,5", "-0,015"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    assert df.where(~parse_money("s").eqNullSafe(to_money(parse_decimal("s")))).count() == 0
