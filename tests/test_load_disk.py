@@ -40,3 +40,26 @@ def test_load_and_marts_leave_no_shuffle_files(spark, tmp_path):
     wh.materialize_marts()
     assert not _shuffle_files(spark) - before
     assert wh.fact.count() == 500 and wh.mart("agg_canal_mensual").agg(F.sum("cantidad_despachos")).first()[0] == 500
+
+
+def test_items_carry_no_country_names_or_offices_through_shuffles(spark):
+    """Joins as they run when nothing but the hinted nations is broadcast."""
+    from tradewh.sources.fixtures import raw_items
+
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = raw_items(spark, "/root/testdata/sf0.001")
+        lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert df.count() == 6000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    depth = lambda ln: len(ln) - len(ln.lstrip(" :+-"))
+    for key in ("l_orderkey", "l_partkey"):
+        at = next(k for k, ln in enumerate(lines) if f"Exchange hashpartitioning({key}#" in ln)
+        below = []
+        for ln in lines[at + 1:]:
+            if depth(ln) <= depth(lines[at]):
+                break
+            below.append(ln)
+        assert below and not any("n_name" in ln or "s_name" in ln for ln in below), key
