@@ -82,3 +82,25 @@ def test_money_of_odd_texts(spark):
     texts = ["1,005", "1.005", "1.00", "1.", ".", ",5", "1.2.3", "1e2", "1E-3", "1e20", "123456789012,34", "1234567890123,456", "", " 7,5 ", "7300,5", "-0,015"]
     df = spark.createDataFrame([(t,) for t in texts], "s string")
     assert df.where(~parse_money("s").eqNullSafe(to_money(parse_decimal("s")))).count() == 0
+
+
+def test_money_becomes_cents_once_per_fact_row(wh):
+    """Below the Expand of the grouping sets, which has three rows for each of the fact's."""
+    from tradewh.plans import marts
+
+    lines = marts.mart_groups(wh)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(k for k, ln in enumerate(lines) if "Expand [" in ln)
+    times = [k for k, ln in enumerate(lines) if "* 100" in ln]
+    assert times and min(times) > at
+
+
+def test_sums_of_cents_of_either_sign(spark):
+    from decimal import Decimal
+
+    from tradewh.functions.numeric import cents, from_cents, sum_cents, sum_money
+
+    most = Decimal("9999999999999999.99")
+    values = [most, most, -most, Decimal("-0.01"), Decimal("-10485.76"), Decimal("0.07"), Decimal("-10995116277.77"), None]
+    df = spark.createDataFrame([(v,) for v in values], "x decimal(18,2)")
+    got = df.agg(sum_money("x"), sum_cents(cents("x")), from_cents(F.min(cents("x"))), from_cents(F.max(cents("x")))).first()
+    assert tuple(got) == (sum(v for v in values if v is not None),) * 2 + (-most, most)
